@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values: patterns and word list that define the cleaning rules -----
@@ -82,5 +82,15 @@ def without_words(words: Column | str, stopwords: Iterable[str]) -> Column:
     return F.filter(_col(words), lambda t: ~t.isin(stop))
 
 
+def each(df: DataFrame, words: Column, name: str, *keep: str) -> DataFrame:
+    """One row per element of an array column, next to the columns to keep.
+
+    The outer form with a null filter behind it is deliberate: for a plain
+    explode the optimizer infers ``size(array) > 0``, pushes it to the scan and
+    so computes the whole cleaning chain twice.
+    """
+    return df.select(*keep, F.explode_outer(words).alias(name)).where(F.col(name).isNotNull())
+
+
 def join_words(words: Column | str) -> Column:
     return F.array_join(_col(words), " ")

@@ -14,6 +14,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sentispark.functions.text import each
 from sentispark.functions.terms import terms_1_2, vector_tokens
 
 MAX_FEATURES = 5000
@@ -33,7 +34,7 @@ def with_terms(df: DataFrame, text: str = "cleaned_text") -> DataFrame:
 
 def term_frequency(df: DataFrame, key: str = "tweet_id", text: str = "cleaned_text") -> DataFrame:
     """Occurrences per (row, term)."""
-    terms = with_terms(df, text).select(key, F.explode("terms").alias("term"))
+    terms = each(with_terms(df, text), F.col("terms"), "term", key)
     return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
@@ -43,7 +44,7 @@ def vocabulary(train: DataFrame, max_features: int = MAX_FEATURES,
 
     Counting needs no row ids, so it combines on the map side by term alone.
     """
-    terms = with_terms(train, text).select(F.explode("terms").alias("term"))
+    terms = each(with_terms(train, text), F.col("terms"), "term")
     return (terms.groupBy("term").agg(F.count("*").alias("tf"))
             .orderBy(F.desc("tf"), F.asc("term")).limit(max_features))
 
@@ -56,7 +57,7 @@ def smoothed_idf(train: DataFrame, max_features: int = MAX_FEATURES,
     meet the broadcast vocabulary (``max_features`` rows) before the shuffle.
     """
     vocab = vocabulary(train, max_features, text).select("term")
-    seen = with_terms(train, text).select(F.explode(F.array_distinct("terms")).alias("term"))
+    seen = each(with_terms(train, text), F.array_distinct("terms"), "term")
     counts = (seen.join(F.broadcast(vocab), "term").groupBy("term").agg(F.count("*").alias("df")))
     n = F.broadcast(train.agg(F.count("*").alias("n_docs")).withColumn("_one", F.lit(1)))
     return (counts.withColumn("_one", F.lit(1)).join(n, "_one").drop("_one")
@@ -93,7 +94,7 @@ def term_weights(vectors: DataFrame, model: Tfidf, key: str = "tweet_id",
     index, value = sparse_parts(features)
     names = F.broadcast(vectors.sparkSession.createDataFrame(
         list(enumerate(model.terms)), "i int, term string"))
-    pairs = vectors.select(key, F.inline(F.arrays_zip(index.alias("i"), value.alias("weight"))))
+    pairs = vectors.select(key, F.inline_outer(F.arrays_zip(index.alias("i"), value.alias("weight"))))
     return pairs.join(names, "i").select(key, "term", "weight")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentispark.functions.sentiment import LABELS, parse_created_at, url_backfill, url_or_default
+from sentispark.functions.text import each
 from sentispark.operators.dedup import (HOT_ROWS, dedup_first_wins, pair_keys, store_keys,
                                         surviving_orders, without_keys)
 from sentispark.sources.posts import OPTIONAL, REQUIRED
@@ -32,7 +33,7 @@ def with_matched_keyword(df: DataFrame, keywords: Sequence[str]) -> DataFrame:
     listed = F.array(*[F.struct(F.lit(i).alias("keyword_pos"), F.lit(k).alias("keyword"),
                                 F.contains(text, F.lower(F.lit(k))).alias("hit"))
                        for i, k in enumerate(keywords)])
-    hits = df.drop("keyword").withColumn("_m", F.explode(F.filter(listed, lambda k: k["hit"])))
+    hits = each(df.drop("keyword"), F.filter(listed, lambda k: k["hit"]), "_m", "*")
     return hits.select("*", "_m.keyword_pos", "_m.keyword").drop("_m")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentispark.functions.sentiment import label_of
-from sentispark.functions.text import tokens
+from sentispark.functions.text import each, tokens
 from sentispark.operators.lookup import lookup
 
 
@@ -41,7 +41,7 @@ def lexicon_label(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id",
 def contributions(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id",
                   text: str = "cleaned_text") -> DataFrame:
     """The worked example of a score: every hit word with occurrences, weight and product."""
-    words = df.select(key, F.explode(tokens(text)).alias("word"))
+    words = each(df, tokens(text), "word", key)
     hits = lookup(words, word_totals(lexicon), "word", "inner", [key])
     return (hits.groupBy(key, "word")
             .agg(F.count("*").alias("occurrences"), F.min("total").alias("weight"))

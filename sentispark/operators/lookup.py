@@ -68,7 +68,7 @@ def replace_words(df: DataFrame, key: str, text: str, mapping: DataFrame,
         found = _literal_map([(r.word, r.stem) for r in head], df.sparkSession)
         mapped = F.transform(tokens(text), lambda w: F.coalesce(found(w), w))
         return df.withColumn(text, join_words(F.array_remove(mapped, "")))
-    words = df.select(key, F.posexplode(tokens(text)).alias("pos", "word"))
+    words = df.select(key, F.posexplode_outer(tokens(text)).alias("pos", "word")).where("word IS NOT NULL")
     stems = lookup(words, mapping, "word", "left", [key, "pos"], max_rows)
     kept = stems.select(key, "pos", F.coalesce("stem", "word").alias("w")).where("w <> ''")
     texts = kept.groupBy(key).agg(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentispark.functions.sentiment import LABELS
-from sentispark.functions.text import tokens
+from sentispark.functions.text import each, tokens
 
 ON_SCREEN_WORDS = 30
 EXPORT_WORDS = 50
@@ -50,7 +50,7 @@ def total_count(posts: DataFrame) -> DataFrame:
 
 def word_counts(posts: DataFrame, min_length: int = MIN_WORD_LENGTH) -> DataFrame:
     words = (posts.where(F.col("label").isin(*LABELS) & F.col("cleaned_text").isNotNull())
-             .select("label", F.explode(tokens("cleaned_text")).alias("term")))
+             .transform(lambda df: each(df, tokens("cleaned_text"), "term", "label")))
     return (words.where(F.length("term") >= min_length)
             .groupBy("label", "term").agg(F.count("*").alias("n")))
 

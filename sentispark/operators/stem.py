@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentispark.functions.text import tokens
+from sentispark.functions.text import each, tokens
 from sentispark.operators.lookup import MAX_BROADCAST_ROWS, fits
 
 # --- fixed values: affixes of the published algorithm -------------------------
@@ -47,7 +47,7 @@ MAX_PREFIXES = 3
 
 def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """Distinct words of the cleaned texts."""
-    return df.select(F.explode(tokens(text)).alias("word")).distinct()
+    return each(df, tokens(text), "word").distinct()
 
 
 def _cut(word: Column, endings: tuple[str, ...]) -> Column:
@@ -122,7 +122,7 @@ def stem_candidates(vocab: DataFrame) -> DataFrame:
     levels = forms.select("word", bare.alias("d0"), _strip_prefix(start, 1).alias("d1"))
     levels = levels.withColumn("d2", _strip_prefix(F.col("d1"), 2))
     levels = levels.withColumn("d3", _strip_prefix(F.col("d2"), 3))
-    return levels.select("word", F.inline(F.concat("d0", "d1", "d2", "d3"))).select("word", "form", "rank")
+    return levels.select("word", F.inline_outer(F.concat("d0", "d1", "d2", "d3"))).select("word", "form", "rank")
 
 
 def stem_table(vocab: DataFrame, roots: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

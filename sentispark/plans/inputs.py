@@ -90,7 +90,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     rows = docs.join(read_table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
     c, d = F.col("n_chars"), F.col("doc_id")
-    return rows.select(F.inline(F.array(
+    return rows.select(F.inline_outer(F.array(
         F.struct(F.lit("nb").alias("model"), d.alias("id"), F.col("quality").alias("y"),
                  (c % 3 > 0).cast("int").alias("pred"), ((c % 100) / 100.0).alias("score")),
         F.struct(F.lit("svm").alias("model"), d.alias("id"), F.col("quality").alias("y"),

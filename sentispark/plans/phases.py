@@ -83,7 +83,7 @@ def both_models(vectors: DataFrame, fitted: Training | tuple) -> DataFrame:
 
 def long_scores(predicted: DataFrame, id_col: str = "tweet_id") -> DataFrame:
     """Predictions of both models as (model, id, y, pred, score) rows."""
-    return predicted.select(F.inline(F.array(*[
+    return predicted.select(F.inline_outer(F.array(*[
         F.struct(F.lit(m).alias("model"), F.col(id_col).alias("id"), F.col("y"),
                  F.col(f"{m}_pred").alias("pred"), F.col(f"{m}_proba").alias("score"))
         for m in ("nb", "svm")])))
@@ -122,6 +122,6 @@ def score_corpus(posts: DataFrame, fitted: Training) -> DataFrame:
     predicted = both_models(tfidf(rows, fitted.vocab), fitted)
     counts = predicted.agg(*[F.count_if(F.col(f"{m}_pred") == p).alias(f"{m}_{p}")
                              for m in ("nb", "svm") for p in (1, 0)])
-    return counts.select(F.inline(F.array(*[
+    return counts.select(F.inline_outer(F.array(*[
         F.struct(F.lit(m).alias("model"), F.col(f"{m}_1").alias("positive"), F.col(f"{m}_0").alias("negative"))
         for m in ("nb", "svm")])))

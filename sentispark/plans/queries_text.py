@@ -58,8 +58,9 @@ _text_query("clean_text", tx.clean_text, ip.sql_clean("raw_text"))
 @query("tokenize", f"""WITH {ip.SQL_NOISY}, t AS (SELECT tweet_id, {ip.sql_tokens(ip.sql_clean('raw_text'))} AS w
   FROM noisy) SELECT tweet_id, CAST(unnest(generate_series(0, len(w) - 1)) AS INT) AS pos, unnest(w) AS token FROM t""")
 def tokenize(spark, sf_dir):
+    words = tx.tokens(tx.clean_text("raw_text"))
     return (ip.noisy_posts(spark, sf_dir)
-            .select("tweet_id", F.posexplode(tx.tokens(tx.clean_text("raw_text"))).alias("pos", "token")))
+            .select("tweet_id", F.posexplode_outer(words).alias("pos", "token")).where("token IS NOT NULL"))
 
 
 SQL_GENERAL = _drop(ip.sql_tokens(ip.sql_clean("raw_text")), ip.STOPWORDS)
@@ -148,7 +149,7 @@ SQL_CONFIX = f"""WITH {ip.SQL_CLEANED},
 def stem_confix(spark, sf_dir):
     """Stems of all distinct words; the short frequent words of the texts serve as roots."""
     cleaned = ip.cleaned_posts(spark, sf_dir)
-    words = cleaned.select(F.explode(tx.tokens("cleaned_text")).alias("word"))
+    words = tx.each(cleaned, tx.tokens("cleaned_text"), "word")
     counted = words.groupBy("word").agg(F.count("*").alias("c"))
     roots = counted.where((F.col("c") >= 2) & F.length("word").between(3, 6))
     return stem_table(vocabulary(cleaned, "cleaned_text"), roots)

@@ -61,7 +61,7 @@ def _rows(df: DataFrame, section: str, pairs: dict, prefix=None) -> DataFrame:
     def item(name: str):
         return F.lit(name) if prefix is None else F.concat_ws(".", prefix, F.lit(name))
 
-    return df.select(F.inline(F.array(*[
+    return df.select(F.inline_outer(F.array(*[
         F.struct(F.lit(section).alias("section"), item(k).alias("item"), v.cast("string").alias("value"))
         for k, v in pairs.items()])))
 
