@@ -31,19 +31,21 @@ def dedup_exact_text(df: DataFrame, order: str = "seq", text: str = "raw_text")
     return df.join(first, order, "left_semi")
 
 
-def without_keys(rows: DataFrame, taken: DataFrame, col: str, order: str,
+def without_keys(rows: DataFrame, taken: DataFrame, col: str, order: str, n_rows: int,
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose ``col`` is not among ``taken``, safe against keys that hold much of the data.
 
-    Keys with ``hot_rows`` rows or more are few by arithmetic (rows / hot_rows)
-    and are settled by a broadcast; their surviving rows pass the shuffle under
-    a salt that matches nothing.
+    ``rows`` holds at most ``n_rows`` rows. Keys with ``hot_rows`` rows or more are
+    few by arithmetic (n_rows / hot_rows, never over MAX_HOT_KEYS) and are
+    settled by a broadcast; their surviving rows pass the shuffle under a salt
+    that matches nothing.
     """
     taken = taken.select(col).distinct()
+    limit = max(hot_rows, n_rows // MAX_HOT_KEYS)
+    if n_rows < limit:
+        return rows.join(taken, col, "left_anti")
     sizes = rows.groupBy(col).agg(F.count("*").alias("_n"))
-    stats = sizes.agg(F.sum("_n").alias("rows"), F.max("_n").alias("largest")).first()
-    limit = max(hot_rows, (stats["rows"] or 0) // MAX_HOT_KEYS)
-    if (stats["largest"] or 0) < limit:
+    if (sizes.agg(F.max("_n")).first()[0] or 0) < limit:
         return rows.join(taken, col, "left_anti")
     hot = (sizes.where(F.col("_n") >= limit).select(col)
            .join(taken.withColumn("_taken", F.lit(True)), col, "left")
@@ -95,8 +97,8 @@ def surviving_orders(keys: DataFrame, order: str, id_col: str, key_col: str,
         first_by_key = undecided.groupBy(key_col).agg(F.min(order).alias(order))
         winners = cut_lineage(first_by_id.join(first_by_key, order))
         kept.append(winners.select(order))
-        rest = without_keys(undecided, winners, id_col, order, hot_rows)
-        rest = without_keys(rest, winners, key_col, order, hot_rows)
+        rest = without_keys(undecided, winners, id_col, order, left, hot_rows)
+        rest = without_keys(rest, winners, key_col, order, left, hot_rows)
         undecided = cut_lineage(rest)
         left = undecided.count()
         rounds += 1

@@ -53,7 +53,8 @@ def auc_roc(scored: DataFrame, ranges: int = SCORE_RANGES) -> DataFrame:
     probs = [i / ranges for i in range(1, ranges)]
     cuts = scored.groupBy("model").agg(F.percentile_approx("score", probs, 10_000).alias("c")).collect()
     inner = sorted({v for r in cuts if r["c"] for v in r["c"]})
-    by_score = scored.groupBy("model", "score").agg(
+    ranked_rows = scored.where(F.col("score").isNotNull() & F.col("model").isNotNull())
+    by_score = ranked_rows.groupBy("model", "score").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
     if inner:
         cutter = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="score", outputCol="part")

@@ -51,14 +51,18 @@ def vocabulary(train: DataFrame, max_features: int = MAX_FEATURES,
 
 def smoothed_idf(train: DataFrame, max_features: int = MAX_FEATURES,
                  text: str = "cleaned_text") -> DataFrame:
-    """(term, df, n_docs, idf) with idf = ln((1 + n) / (1 + df)) + 1.
+    """(term, df, n_docs, idf) of the vocabulary, with idf = ln((1 + n) / (1 + df)) + 1.
 
-    Document counts are taken for vocabulary terms only: distinct terms of a row
-    meet the broadcast vocabulary (``max_features`` rows) before the shuffle.
+    One pass over the texts: a row yields all its terms, then its distinct terms,
+    told apart by position; the first give the frequency that ranks a term, the
+    second its document count.
     """
-    vocab = vocabulary(train, max_features, text).select("term")
-    seen = each(with_terms(train, text), F.array_distinct("terms"), "term")
-    counts = (seen.join(F.broadcast(vocab), "term").groupBy("term").agg(F.count("*").alias("df")))
+    rows = with_terms(train, text).select(
+        F.size("terms").alias("_n"), F.posexplode_outer(F.concat("terms", F.array_distinct("terms"))).alias("_pos", "term"))
+    counts = (rows.where(F.col("term").isNotNull()).groupBy("term")
+              .agg(F.count_if(F.col("_pos") < F.col("_n")).alias("_tf"),
+                   F.count_if(F.col("_pos") >= F.col("_n")).alias("df"))
+              .orderBy(F.desc("_tf"), F.asc("term")).limit(max_features).drop("_tf"))
     n = F.broadcast(train.agg(F.count("*").alias("n_docs")).withColumn("_one", F.lit(1)))
     return (counts.withColumn("_one", F.lit(1)).join(n, "_one").drop("_one")
             .withColumn("idf", F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1))

@@ -11,6 +11,7 @@ from sentispark.functions.sentiment import LABELS, parse_created_at, url_backfil
 from sentispark.functions.text import each
 from sentispark.operators.dedup import (HOT_ROWS, dedup_first_wins, pair_keys, store_keys,
                                         surviving_orders, without_keys)
+from sentispark.session import cut_lineage
 from sentispark.sources.posts import OPTIONAL, REQUIRED
 
 DEFAULT_SEARCH_LIMIT = 100
@@ -69,9 +70,10 @@ def insert_new(store: DataFrame, batch: DataFrame, order: str = "seq", id_col: s
     ``store`` may be the posts or their narrow key table.
     """
     taken = store_keys(store, id_col, text)
-    keys = pair_keys(batch, order, id_col, text)
-    keys = without_keys(keys, taken, id_col, order, hot_rows)
-    keys = without_keys(keys, taken, "_k", order, hot_rows)
+    keys = cut_lineage(pair_keys(batch, order, id_col, text))
+    n = keys.count()
+    keys = without_keys(keys, taken, id_col, order, n, hot_rows)
+    keys = without_keys(keys, taken, "_k", order, n, hot_rows)
     survivors = surviving_orders(keys, order, id_col, "_k", hot_rows)
     return batch.join(survivors, order, "left_semi")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sentispark.functions.sentiment import label_of
 from sentispark.functions.text import each, tokens
-from sentispark.operators.lookup import lookup
+from sentispark.operators.lookup import MAX_BROADCAST_ROWS, MAX_LITERAL_WORDS, literal_map, lookup
 
 
 def word_totals(lexicon: DataFrame) -> DataFrame:
@@ -24,18 +24,33 @@ def lexicon_overlap(positive: DataFrame, negative: DataFrame) -> DataFrame:
                     F.count_if(F.col("p").isNotNull() & F.col("n").isNotNull()).alias("shared_words"))
 
 
-def lexicon_label(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id",
-                  text: str = "cleaned_text") -> DataFrame:
-    """(key, sentiment_score, label) for every row, null and empty texts included.
+def with_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id", text: str = "cleaned_text",
+                   max_literal: int = MAX_LITERAL_WORDS, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Add ``sentiment_score`` and ``label``; null and empty texts score 0.
 
-    The outer explode keeps rows without words, so no join back is needed; the
-    partial sum leaves one row per post and task before the shuffle.
+    A lexicon of usual size goes into the plan and scoring is a projection: no
+    explode, no shuffle. A larger one is joined token by token; the outer
+    explode keeps rows without words, and the partial sum leaves one row per
+    post and task before the shuffle. ``key`` must be unique then.
     """
+    totals = word_totals(lexicon)
+    weight_of = literal_map(totals, "total", "bigint", max_literal)
+    if weight_of is not None:
+        none = F.lit(0).cast("long")
+        score = F.aggregate(tokens(text), none, lambda acc, w: acc + F.coalesce(weight_of(w), none))
+        return df.withColumn("sentiment_score", score).withColumn("label", label_of(F.col("sentiment_score")))
     words = df.select(key, F.explode_outer(tokens(text)).alias("word"))
-    weighed = lookup(words, word_totals(lexicon), "word", "left", [key])
+    weighed = lookup(words, totals, "word", "left", [key], max_rows)
     scores = weighed.groupBy(key).agg(
         F.sum(F.coalesce("total", F.lit(0).cast("long"))).alias("sentiment_score"))
-    return scores.withColumn("label", label_of(F.col("sentiment_score")))
+    return df.join(scores.withColumn("label", label_of(F.col("sentiment_score"))), key)
+
+
+def lexicon_label(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id",
+                  text: str = "cleaned_text", **limits) -> DataFrame:
+    """(key, sentiment_score, label) for every row."""
+    rows = df.select(key, text)
+    return with_sentiment(rows, lexicon, key, text, **limits).select(key, "sentiment_score", "label")
 
 
 def contributions(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id",

@@ -35,19 +35,22 @@ def lookup(rows: DataFrame, table: DataFrame, on: str, how: str, spread: list[st
     return rows.withColumn("_salt", salt).join(copies, [on, "_salt"], how).drop("_salt")
 
 
-def _literal_map(pairs: list[tuple[str, str]], session):
-    """A driver-side word map as one constant: an array of small maps, picked by hash.
+def literal_map(table: DataFrame, value: str, ddl: str, max_words: int = MAX_LITERAL_WORDS):
+    """A (word, value) table as a look-up function inside the row, or None if it is too large.
 
-    Spark walks a map entry by entry, so one large map would be slow; with the
-    words dealt to many small maps a look-up touches a few entries.
+    The words travel in the plan as an array of small maps, picked by hash:
+    Spark walks a map entry by entry, and dealt to many maps a look-up touches
+    an entry or two. ``table`` holds each word once.
     """
-    slots = max(16, 2 * len(pairs))
-    word_rows = session.createDataFrame(pairs, "word string, stem string")
-    dealt: list[dict[str, str]] = [{} for _ in range(slots)]
-    for r in word_rows.select("word", "stem", F.pmod(F.hash("word"), F.lit(slots)).alias("s")).collect():
-        dealt[r.s][r.word] = r.stem
-    table = F.from_json(F.lit(json.dumps(dealt)), "array<map<string,string>>")
-    return lambda w: F.try_element_at(F.get(table, F.pmod(F.hash(w), F.lit(slots))), w)
+    rows = table.select("word", F.col(value).alias("v"), F.hash("word").alias("h")).limit(max_words + 1).collect()
+    if len(rows) > max_words:
+        return None
+    slots = max(16, 2 * len(rows))
+    dealt: list[dict] = [{} for _ in range(slots)]
+    for r in rows:
+        dealt[r.h % slots][r.word] = r.v
+    packed = F.from_json(F.lit(json.dumps(dealt)), f"array<map<string,{ddl}>>")
+    return lambda w: F.try_element_at(F.get(packed, F.pmod(F.hash(w), F.lit(slots))), w)
 
 
 def replace_words(df: DataFrame, key: str, text: str, mapping: DataFrame,
@@ -61,11 +64,8 @@ def replace_words(df: DataFrame, key: str, text: str, mapping: DataFrame,
     ``key``, which must be unique.
     """
     mapping = mapping.groupBy("word").agg(F.min("stem").alias("stem"))
-    head = mapping.limit(max_literal + 1).collect()
-    if len(head) <= max_literal:
-        if not head:
-            return df
-        found = _literal_map([(r.word, r.stem) for r in head], df.sparkSession)
+    found = literal_map(mapping, "stem", "string", max_literal)
+    if found is not None:
         mapped = F.transform(tokens(text), lambda w: F.coalesce(found(w), w))
         return df.withColumn(text, join_words(F.array_remove(mapped, "")))
     words = df.select(key, F.posexplode_outer(tokens(text)).alias("pos", "word")).where("word IS NOT NULL")

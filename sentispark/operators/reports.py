@@ -49,8 +49,10 @@ def total_count(posts: DataFrame) -> DataFrame:
 
 
 def word_counts(posts: DataFrame, min_length: int = MIN_WORD_LENGTH) -> DataFrame:
-    words = (posts.where(F.col("label").isin(*LABELS) & F.col("cleaned_text").isNotNull())
-             .transform(lambda df: each(df, tokens("cleaned_text"), "term", "label")))
+    """Occurrences per (label, word). Rows without a label yield no words instead of being
+    filtered: a filter on a derived label would be pushed down and derive it twice."""
+    wanted = F.when(F.col("label").isin(*LABELS), tokens("cleaned_text"))
+    words = each(posts, wanted, "term", "label")
     return (words.where(F.length("term") >= min_length)
             .groupBy("label", "term").agg(F.count("*").alias("n")))
 

@@ -64,6 +64,10 @@ def _form(word: Column, rank, suffix: Column) -> Column:
     return F.struct(word.alias("form"), rank.cast("long").alias("rank"), suffix.alias("suffix"))
 
 
+def _starts_like_a_prefix(word: Column) -> Column:
+    return F.substring(word, 1, 1).isin(*sorted({p[0] for p, _, _ in PREFIX_RULES}))
+
+
 def _rules() -> Column:
     return F.array(*[
         F.struct(F.lit(p).alias("prefix"), F.lit(nxt).alias("nxt"), F.lit(put).alias("put"),
@@ -87,7 +91,9 @@ def _strip_prefix(forms: Column, depth: int) -> Column:
                 ok = ok & ~pair.isin(*[f"{a}-{b}" for a, b in FORBIDDEN_PAIRS])
             return ok
 
-        return F.transform(F.filter(rules, usable), lambda r: _form(
+        fitting = F.when(_starts_like_a_prefix(f["form"]), F.filter(rules, usable)).otherwise(
+            F.filter(F.slice(rules, 1, 1), lambda r: F.lit(False)))
+        return F.transform(fitting, lambda r: _form(
             F.concat(r["put"], F.substring(f["form"], r["n"] + 1, F.length(f["form"]))),
             f["rank"] + 10 ** 6 + r["no"] * step, f["suffix"]))
 
@@ -100,7 +106,8 @@ def stem_candidates(vocab: DataFrame) -> DataFrame:
     Rank, in units of 10^7: the word and its suffix-stripped forms (0-4), then
     the prefix-stripped forms of the barest stem (5) up to those of the whole
     word (9); within a unit fewer prefixes first, then rule order. A word in
-    -kan is tried with -kan and with -an taken off.
+    -kan is tried with -kan and with -an taken off. A form that came up earlier
+    is not expanded again.
     """
     w = F.col("word")
     forms = vocab.select("word", _cut(w, PARTICLES).alias("w1"))
@@ -118,7 +125,9 @@ def stem_candidates(vocab: DataFrame) -> DataFrame:
     unit = 10 ** 7
     bare = F.array(*[_form(f, F.lit(i * unit), s) for i, (f, s) in enumerate(stages)])
     order = [stages[3], stages[4], stages[2], stages[1], stages[0]]
-    start = F.array(*[_form(f, F.lit((5 + i) * unit), s) for i, (f, s) in enumerate(order)])
+    start = F.array_compact(F.array(*[
+        F.when(_starts_like_a_prefix(f) & (~f.isin(*[e for e, _ in order[:i]]) if i else F.lit(True)),
+               _form(f, F.lit((5 + i) * unit), s)) for i, (f, s) in enumerate(order)]))
     levels = forms.select("word", bare.alias("d0"), _strip_prefix(start, 1).alias("d1"))
     levels = levels.withColumn("d2", _strip_prefix(F.col("d1"), 2))
     levels = levels.withColumn("d3", _strip_prefix(F.col("d2"), 3))

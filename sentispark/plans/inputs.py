@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentispark.functions import text as tx
-from sentispark.operators.lexicon_score import lexicon_label
+from sentispark.operators.lexicon_score import with_sentiment
 from sentispark.sources.posts import (literal_table, posts_from_conversations, posts_from_documents,
                                       read_table, spread)
 
@@ -53,14 +53,9 @@ def cleaned_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts(spark, sf_dir).withColumn("cleaned_text", tx.clean_text("raw_text"))
 
 
-def scored_posts(rows: DataFrame, words: DataFrame) -> DataFrame:
-    """Rows with cleaned_text, joined with score and label by id."""
-    return rows.join(lexicon_label(rows, words), "tweet_id")
-
-
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide posts table in mid-work: every fifth row uncleaned, every fifth unlabelled."""
-    rows = scored_posts(cleaned_posts(spark, sf_dir), lexicon(spark))
+    rows = with_sentiment(cleaned_posts(spark, sf_dir), lexicon(spark))
     state = F.col("seq") % 5
     return (rows.withColumn("cleaned_text", F.when(state != 0, F.col("cleaned_text")))
             .withColumn("sentiment_score", F.when(state != 1, F.col("sentiment_score")).otherwise(F.lit(0)))
@@ -69,7 +64,7 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = turns(spark, sf_dir).withColumn("cleaned_text", tx.clean_text("raw_text"))
-    return scored_posts(rows, lexicon(spark))
+    return with_sentiment(rows, lexicon(spark))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,7 +74,7 @@ def tf(spark, sf_dir):
 
 
 def _split_parts(spark, sf_dir):
-    rows = stratified_split(ip.gold_binary(spark, sf_dir))
+    rows = stratified_split(ip.gold_binary(spark, sf_dir).persist())
     return rows.where("is_train"), rows.where(~F.col("is_train"))
 
 

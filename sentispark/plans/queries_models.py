@@ -30,7 +30,7 @@ SQL_MARGIN = f"""WITH {SQL_NB}, {sql_weights('test', 'v')},
 
 
 def _parts(spark, sf_dir):
-    rows = stratified_split(ip.gold_binary(spark, sf_dir)).withColumn("y", binary_label(F.col("label")))
+    rows = stratified_split(ip.gold_binary(spark, sf_dir).persist()).withColumn("y", binary_label(F.col("label")))
     train = rows.where("is_train")
     vocab = ft.fit_tfidf(train)
     keep = ["tweet_id", "y", "features"]
@@ -92,7 +92,7 @@ def _trained(spark, sf_dir):
     """One training serves all of its reports within a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
-        rows = ip.gold(spark, sf_dir)
+        rows = ip.gold(spark, sf_dir).persist()
         _TRAINED[key] = (rows, run_train(rows))
     return _TRAINED[key]
 

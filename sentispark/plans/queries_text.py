@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from sentispark.functions import text as tx
 from sentispark.operators.lookup import drop_listed_words, replace_words
 from sentispark.operators.stem import (FORBIDDEN_PAIRS, MIN_STEM, PARTICLES, POSSESSIVES, PREFIX_RULES,
-                                       SUFFIXES, stem_table, vocabulary)
+                                       SUFFIXES, stem_table)
 from sentispark.plans import inputs as ip
 from sentispark.plans.catalog import query
 from sentispark.plans.phases import preprocess, stage_trace
+from sentispark.session import cut_lineage
 from sentispark.sources.posts import literal_table
 
 LOWER = "lower(raw_text)"
@@ -150,9 +151,9 @@ def stem_confix(spark, sf_dir):
     """Stems of all distinct words; the short frequent words of the texts serve as roots."""
     cleaned = ip.cleaned_posts(spark, sf_dir)
     words = tx.each(cleaned, tx.tokens("cleaned_text"), "word")
-    counted = words.groupBy("word").agg(F.count("*").alias("c"))
+    counted = cut_lineage(words.groupBy("word").agg(F.count("*").alias("c")))
     roots = counted.where((F.col("c") >= 2) & F.length("word").between(3, 6))
-    return stem_table(vocabulary(cleaned, "cleaned_text"), roots)
+    return stem_table(counted.select("word"), roots)
 
 
 @query("preprocess_full", _sql_stemmed(SQL_BOTH))

@@ -14,9 +14,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sentispark.operators.dedup import dedup_first_wins, store_keys
 from sentispark.operators.ingest import insert_new, valid_posts, with_url
-from sentispark.operators.lexicon_score import lexicon_label
+from sentispark.operators.lexicon_score import with_sentiment
 from sentispark.session import cut_lineage
-from sentispark.sources.posts import POST_SCHEMA
+from sentispark.sources.posts import POST_SCHEMA, spread
 
 BATCH = "batch"
 
@@ -44,10 +44,7 @@ def clean_and_label(stream: DataFrame, out: str, checkpoint: str, lexicon: DataF
     is kept: a post is labelled from its own text.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean(batch).persist()
-        labelled = cleaned.join(lexicon_label(cleaned, lexicon), "tweet_id")
-        _replace_batch(labelled, out, batch_id)
-        cleaned.unpersist()
+        _replace_batch(with_sentiment(clean(spread(batch, "tweet_id")), lexicon), out, batch_id)
 
     return _start(stream, checkpoint, handle)
 

@@ -31,8 +31,9 @@ def test_scores(spark):
     rows = spark.createDataFrame([("1", "bagus bagus ya"), ("2", "buruk ya"), ("3", None), ("4", ""), ("5", "lain"),
                                   ("6", "bagus ya ya ya")], "tweet_id string, cleaned_text string")
     words = union_lexica(p, n)
-    got = {r.tweet_id: (r.sentiment_score, r.label) for r in lexicon_label(rows, words).collect()}
-    assert got == {"1": (5, "positive"), "2": (-5, "negative"), "3": (0, "neutral"), "4": (0, "neutral"),
-                   "5": (0, "neutral"), "6": (0, "neutral")}
+    for limits in ({}, {"max_literal": 0}, {"max_literal": 0, "max_rows": 0}):
+        got = {r.tweet_id: (r.sentiment_score, r.label) for r in lexicon_label(rows, words, **limits).collect()}
+        assert got == {"1": (5, "positive"), "2": (-5, "negative"), "3": (0, "neutral"), "4": (0, "neutral"),
+                       "5": (0, "neutral"), "6": (0, "neutral")}
     parts = {(r.tweet_id, r.word): (r.occurrences, r.weight, r.contribution) for r in contributions(rows, words).collect()}
     assert parts[("1", "bagus")] == (2, 3, 6) and parts[("6", "ya")] == (3, -1, -3)
