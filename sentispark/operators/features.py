@@ -63,8 +63,7 @@ def smoothed_idf(train: DataFrame, max_features: int = MAX_FEATURES,
               .agg(F.count_if(F.col("_pos") < F.col("_n")).alias("_tf"),
                    F.count_if(F.col("_pos") >= F.col("_n")).alias("df"))
               .orderBy(F.desc("_tf"), F.asc("term")).limit(max_features).drop("_tf"))
-    n = F.broadcast(train.agg(F.count("*").alias("n_docs")).withColumn("_one", F.lit(1)))
-    return (counts.withColumn("_one", F.lit(1)).join(n, "_one").drop("_one")
+    return (counts.withColumn("n_docs", train.agg(F.count("*")).scalar())
             .withColumn("idf", F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1))
 
 

@@ -47,13 +47,12 @@ def results_document(posts: DataFrame, fitted: Training) -> DataFrame:
     terms = top_mean_terms(fitted.train, fitted.vocab).agg(
         F.transform(ranked, lambda t: F.struct(t["term"].alias("term"), t["weight"].alias("weight")))
         .alias("top_terms"))
-    one = F.lit(1).alias("_one")
-    return (models.select("*", one).join(F.broadcast(terms.select("*", one)), "_one").select(
+    return models.select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("generated_at"),
         F.lit(fitted.train_size + fitted.test_size).cast("long").alias("dataset_size"),
         F.lit(fitted.train_size).cast("long").alias("train_size"),
         F.lit(fitted.test_size).cast("long").alias("test_size"),
-        "test_positive", "test_negative", "models", "top_terms"))
+        "test_positive", "test_negative", "models", terms.scalar().alias("top_terms"))
 
 
 def _rows(df: DataFrame, section: str, pairs: dict, prefix=None) -> DataFrame:
