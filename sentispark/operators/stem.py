@@ -8,11 +8,12 @@ distinct word is stemmed once, whatever the number of its occurrences.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentispark.functions.text import each, tokens
 from sentispark.operators.lookup import MAX_BROADCAST_ROWS, fits
+from sentispark.sources.posts import literal_table
 
 # --- fixed values: affixes of the published algorithm -------------------------
 PARTICLES = ("lah", "kah", "tah", "pun")
@@ -60,44 +61,33 @@ def _cut(word: Column, endings: tuple[str, ...]) -> Column:
     return out
 
 
-def _form(word: Column, rank, suffix: Column) -> Column:
-    return F.struct(word.alias("form"), rank.cast("long").alias("rank"), suffix.alias("suffix"))
+def _rule_table(spark: SparkSession) -> DataFrame:
+    """The prefix rules, and the empty prefix that lets a form through unchanged."""
+    rows = [(p, nxt, put, len(p), i + 1) for i, (p, nxt, put) in enumerate(PREFIX_RULES)]
+    return literal_table(spark, "prefix, nxt, put, n, no", [("", "", "", 0, 0), *rows])
 
 
-def _starts_like_a_prefix(word: Column) -> Column:
-    return F.substring(word, 1, 1).isin(*sorted({p[0] for p, _, _ in PREFIX_RULES}))
+def _strip_prefix(forms: DataFrame, rules: DataFrame, depth: int) -> DataFrame:
+    """Add every form reached by one more prefix; the rule number extends the rank.
 
-
-def _rules() -> Column:
-    return F.array(*[
-        F.struct(F.lit(p).alias("prefix"), F.lit(nxt).alias("nxt"), F.lit(put).alias("put"),
-                 F.lit(len(p)).alias("n"), F.lit(i + 1).alias("no"))
-        for i, (p, nxt, put) in enumerate(PREFIX_RULES)])
-
-
-def _strip_prefix(forms: Column, depth: int) -> Column:
-    """Every form reached by one more prefix; the rule numbers extend the rank."""
-    rules = _rules()
-    step = 100 ** (MAX_PREFIXES - depth)
-
-    def apply(f: Column) -> Column:
-        def usable(r: Column) -> Column:
-            w = f["form"]
-            ok = (F.startswith(w, r["prefix"])
-                  & (F.length(w) >= r["n"] + MIN_STEM)
-                  & F.contains(r["nxt"], F.substring(w, r["n"] + 1, F.lit(1))))
-            if depth == 1:
-                pair = F.concat(F.substring(r["prefix"], 1, 2), F.lit("-"), f["suffix"])
-                ok = ok & ~pair.isin(*[f"{a}-{b}" for a, b in FORBIDDEN_PAIRS])
-            return ok
-
-        fitting = F.when(_starts_like_a_prefix(f["form"]), F.filter(rules, usable)).otherwise(
-            F.filter(F.slice(rules, 1, 1), lambda r: F.lit(False)))
-        return F.transform(fitting, lambda r: _form(
-            F.concat(r["put"], F.substring(f["form"], r["n"] + 1, F.length(f["form"]))),
-            f["rank"] + 10 ** 6 + r["no"] * step, f["suffix"]))
-
-    return F.flatten(F.transform(forms, apply))
+    The first letters of a form meet the rules in a hash join. Forms of lower
+    depth pass through; the outermost prefix must suit the suffix taken off.
+    """
+    form, n = F.col("form"), F.col("n")
+    heads = [F.substring(form, 1, k) for k in sorted({len(p) for p, _, _ in PREFIX_RULES})]
+    tried = F.when((F.col("depth") == depth - 1) & F.col("open"), F.array(F.lit(""), *heads)).otherwise(F.array(F.lit("")))
+    met = forms.withColumn("prefix", F.explode_outer(tried)).join(F.broadcast(rules), "prefix")
+    fits_rule = ((F.length(form) >= n + MIN_STEM)
+                 & F.contains(F.col("nxt"), F.expr("substring(form, n + 1, 1)")))
+    if depth == 1:
+        pair = F.concat(F.substring("prefix", 1, 2), F.lit("-"), F.col("suffix"))
+        fits_rule = fits_rule & ~pair.isin(*[f"{x}-{y}" for x, y in FORBIDDEN_PAIRS])
+    passed = F.col("no") == 0
+    step = 10 ** 6 + F.col("no") * 100 ** (MAX_PREFIXES - depth)
+    return met.where(passed | fits_rule).select(
+        "word", F.when(passed, form).otherwise(F.expr("concat(put, substring(form, n + 1))")).alias("form"),
+        (F.col("rank") + F.when(passed, 0).otherwise(step)).alias("rank"), "suffix",
+        (F.col("depth") + F.when(passed, 0).otherwise(1)).alias("depth"), "open")
 
 
 def stem_candidates(vocab: DataFrame) -> DataFrame:
@@ -119,19 +109,24 @@ def stem_candidates(vocab: DataFrame) -> DataFrame:
     def suffix(short: str) -> Column:
         return F.substring(F.col("w2"), F.length(short) + 1, F.length("w2"))
 
-    none = F.lit("")
+    none, unit = F.lit(""), 10 ** 7
     stages = [(w, none), (F.col("w1"), none), (F.col("w2"), none),
               (F.col("w3"), suffix("w3")), (F.col("w4"), suffix("w4"))]
-    unit = 10 ** 7
-    bare = F.array(*[_form(f, F.lit(i * unit), s) for i, (f, s) in enumerate(stages)])
     order = [stages[3], stages[4], stages[2], stages[1], stages[0]]
-    start = F.array_compact(F.array(*[
-        F.when(_starts_like_a_prefix(f) & (~f.isin(*[e for e, _ in order[:i]]) if i else F.lit(True)),
-               _form(f, F.lit((5 + i) * unit), s)) for i, (f, s) in enumerate(order)]))
-    levels = forms.select("word", bare.alias("d0"), _strip_prefix(start, 1).alias("d1"))
-    levels = levels.withColumn("d2", _strip_prefix(F.col("d1"), 2))
-    levels = levels.withColumn("d3", _strip_prefix(F.col("d2"), 3))
-    return levels.select("word", F.inline_outer(F.concat("d0", "d1", "d2", "d3"))).select("word", "form", "rank")
+
+    def start(f: Column, rank: int, s: Column, open_: bool, seen: list[Column]) -> Column:
+        row = F.struct(f.alias("form"), F.lit(rank).cast("long").alias("rank"), s.alias("suffix"),
+                       F.lit(open_).alias("open"))
+        return F.when(~f.isin(*seen), row) if seen else row
+
+    starts = [start(f, i * unit, s, False, []) for i, (f, s) in enumerate(stages)]
+    starts += [start(f, (5 + i) * unit, s, True, [e for e, _ in order[:i]]) for i, (f, s) in enumerate(order)]
+    found = (forms.select("word", F.explode_outer(F.array(*starts)).alias("f")).where(F.col("f").isNotNull())
+             .select("word", "f.form", "f.rank", "f.suffix", F.lit(0).alias("depth"), "f.open"))
+    rules = _rule_table(vocab.sparkSession)
+    for depth in range(1, MAX_PREFIXES + 1):
+        found = _strip_prefix(found, rules, depth)
+    return found.where((F.col("depth") > 0) | ~F.col("open")).select("word", "form", "rank")
 
 
 def stem_table(vocab: DataFrame, roots: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
