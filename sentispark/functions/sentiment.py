@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The label set and its display order.
+# The label set in its display order, the link format, the worded date format.
 LABELS = ("positive", "negative", "neutral")
+LINK_HOST, LINK_PATH = "https://x.com/", "/status/"
+WORDED_DATE = "MMM dd HH:mm:ss Z yyyy"
 
 
 def label_of(score: Column) -> Column:
@@ -20,7 +22,7 @@ def binary_label(label: Column) -> Column:
 
 
 def post_url(username: Column, tweet_id: Column) -> Column:
-    return F.concat(F.lit("https://x.com/"), username, F.lit("/status/"), tweet_id)
+    return F.concat(F.lit(LINK_HOST), username, F.lit(LINK_PATH), tweet_id)
 
 
 def url_or_default(url: Column, username: Column, tweet_id: Column) -> Column:
@@ -41,5 +43,5 @@ def parse_created_at(text: Column) -> Column:
     """
     utc = F.concat(text, F.lit("Z")).try_cast("timestamp")
     offset = text.try_cast("timestamp")
-    worded = F.try_to_timestamp(F.substring(text, 5, 64), F.lit("MMM dd HH:mm:ss Z yyyy"))
+    worded = F.try_to_timestamp(F.substring(text, 5, 64), F.lit(WORDED_DATE))
     return F.coalesce(utc, offset, worded)
