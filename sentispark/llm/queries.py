@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sentispark.llm import ngram_join
+from pyspark.sql import functions as F
+
+from sentispark.llm import ngram_join, substring_dedup
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -48,3 +50,23 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS y FROM reach GR
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the component of their 5-word shingle links at a Jaccard similarity of 0.75."""
     return ngram_join.shingle_components(table(spark, sf_dir, "documents"))
+
+
+_REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+           FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)),
+again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM win JOIN again USING (h)),
+j AS (SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, len(coalesce(js, []))::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(ws, lambda x, k: NOT list_contains(coalesce(js, []), k)), ' ')) AS kept_sha256
+FROM w LEFT JOIN j USING (doc_id)"""
+
+
+@query("op1_substring_dedup", _REPEATS_SQL)
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of any 35-word window that occurs again."""
+    docs = substring_dedup.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
