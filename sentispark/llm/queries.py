@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sentispark.llm import ngram_join, substring_dedup
+from sentispark.llm import mixing, ngram_join, substring_dedup
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -70,3 +70,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words of any 35-word window that occurs again."""
     docs = substring_dedup.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op7_mixing")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix by source weights takes of every document."""
+    mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
