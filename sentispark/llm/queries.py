@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sentispark.llm import mixing, ngram_join, substring_dedup
+from sentispark.llm import mixing, ngram_join, packing, substring_dedup
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -77,3 +77,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix by source weights takes of every document."""
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 4096 tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)

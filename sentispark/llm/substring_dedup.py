@@ -32,7 +32,7 @@ from sentispark.llm.words import groups, mix, pack, range_of, run_hashes, text_s
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)
 #: An anchor or window that occurs so often within a batch is settled there.
 LOCAL = 16
-FLUSH = 1_500_000
+FLUSH = 400_000
 _ENTRIES = "kind int, part int, docs binary, hashes binary, places binary"
 _HASHED, _FOUND = 0, 1
 _NEW = ("n_words", "n_removed", "kept_text")
