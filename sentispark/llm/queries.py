@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sentispark.llm import mixing, ngram_join, packing, substring_dedup
+from sentispark.llm import language_id, mixing, ngram_join, packing, substring_dedup
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -85,3 +85,17 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+def remainder(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo 3; 1 marks held-out documents."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 3
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, F.when(remainder() != 1, F.col("lang")))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (remainder() == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
