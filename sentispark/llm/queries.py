@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sentispark.llm import language_id, mixing, ngram_join, packing, substring_dedup
+from sentispark.llm import block_knn, language_id, mixing, ngram_join, packing, substring_dedup, vector_dedup
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -99,3 +99,30 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs, F.when(remainder() != 1, F.col("lang")))
     found = language_id.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", (remainder() == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+_USABLE_SQL = """
+u AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(embedding, lambda v: v <> 0)) > 0)"""
+
+
+@query("op8_block_knn", f"""WITH {_USABLE_SQL},
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.x, c.x) AS score
+      FROM u q JOIN u c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 20""")
+def op8_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return block_knn.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query("op10_vector_dedup", f"""WITH RECURSIVE {_USABLE_SQL},
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+reach AS (SELECT a AS x, b AS y FROM l UNION SELECT r.x, l.b FROM reach r JOIN l ON l.a = r.y),
+m AS (SELECT x, min(y) AS y FROM reach GROUP BY x), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m.y, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(m.y, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.x = vec_id""")
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links of a cosine of 0.9 and the component they make."""
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
