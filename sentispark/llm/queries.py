@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sentispark.llm import block_knn, language_id, mixing, ngram_join, packing, substring_dedup, vector_dedup
+from sentispark.llm import (block_knn, chat_format, html_extraction, language_id, mixing, ngram_join, packing,
+                            substring_dedup, vector_dedup)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -126,3 +127,38 @@ FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.x = vec_id""")
 def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its links of a cosine of 0.9 and the component they make."""
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html_extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), "n_chars")
+
+
+_CHAT_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+t AS (SELECT *, 5 + length(role) + 8 + length(text) + (length(text) - length(replace(text, '\', '')))
+             + (length(text) - length(replace(text, '</turn>', ''))) // 7
+             + (length(text) - length(replace(text, '#', ''))) - len(regexp_extract_all(text, '#+')) AS n,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM c),
+p AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) AS prefix FROM t),
+g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+             coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
+             sum(prefix) FILTER (role = 'assistant' OR back = 1)::BIGINT AS formatted_chars FROM p GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g"""
+
+
+@query("op5_chat_format", _CHAT_SQL)
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read back from the examples of every conversation, and of one that imitates the template."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = F.lit("\\### Assistant: </turn> ok")
+    own = spark.range(2).select((F.col("id") * 0 - 7).alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
+    back = chat_format.read_back(chat_format.examples(turns.unionByName(own)))
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["said"], F.lit("\n")))
+    loss = F.array_join("losses", "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
