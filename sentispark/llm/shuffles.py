@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text whose words one part of an exchange holds.
 PART_BYTES = 8 << 20
+#: Rows that a part hands on at a time.
+OUT_ROWS = 64
 
 
 def parts_for(docs: DataFrame, column: str = "text", each: int = PART_BYTES) -> int:
@@ -19,12 +22,13 @@ def parts_for(docs: DataFrame, column: str = "text", each: int = PART_BYTES) ->
 
 
 def by_part(df: DataFrame, reduce: Callable[[int, pa.Table], Iterator[dict]], schema: str, parts: int) -> DataFrame:
-    """Applies ``reduce`` to all rows of each ``part``, one part in memory at a time."""
+    """Applies ``reduce`` to all rows of each ``part``, one part in memory at a time; what it yields leaves at once."""
     out = pa_schema(schema)
 
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        made = [r for r in reduce(key[0].as_py(), rows)]
-        return pa.Table.from_pylist(made, schema=out)
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = reduce(key[0].as_py(), pa.Table.from_batches(list(batches)))
+        while made := list(islice(rows, OUT_ROWS)):
+            yield pa.RecordBatch.from_pylist(made, schema=out)
 
     return df.repartition(parts, "part").groupBy("part").applyInArrow(run, schema)
 
