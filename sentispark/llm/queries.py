@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentispark.llm import (block_knn, chat_format, html_extraction, language_id, mixing, ngram_join, packing,
-                            substring_dedup, vector_dedup)
+                            substring_dedup, toxicity, vector_dedup)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -162,3 +162,13 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     loss = F.array_join("losses", "")
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
                        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder() != 1).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
+    return found.select("doc_id", (remainder() == 1).alias("held_out"), F.col("toxicity").alias("score"),
+                        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"))
