@@ -34,7 +34,7 @@ from sentispark.llm.words import mix, text_slices, words
 WINDOW, STRIDE = 24, 12
 SAMPLE, TRAINING = 500, 40_000
 GRAMS, HELD_BY, HELD_LEAST, WIDTH, HIDDEN = (5,), 0.03, 4, 12, 8
-EPOCHS, BATCH, RATE, DECAY = 4, 512, 0.02, 0.01
+EPOCHS, STEPS, BATCH, RATE, DECAY = 4, 400, 512, 0.02, 0.01
 #: Distinct words whose gate inputs a worker keeps, and windows scored at a time.
 MEMORY, AT_ONCE = 200_000, 2048
 
@@ -196,7 +196,8 @@ def train(texts: list[list[str]], labels: np.ndarray) -> tuple[Network, Tables]:
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net._asdict().items()}
     step = 0
     label = labels[of].astype(np.float32)
-    for epoch in range(EPOCHS):
+    each = max(1, 2 * int((label == 0).sum()) // BATCH)
+    for epoch in range(max(EPOCHS, -(-STEPS // each))):  # few documents are gone through more often
         if epoch:  # of a toxic document, the windows that are not its worst and look clean are not held against the network
             ready = projections(net, word_inputs(net, word, grams, owner))
             found = np.concatenate([run_windows(net, ready, rows[a:a + AT_ONCE]) for a in range(0, len(rows), AT_ONCE)])
@@ -206,7 +207,7 @@ def train(texts: list[list[str]], labels: np.ndarray) -> tuple[Network, Tables]:
         else:
             used = np.arange(len(rows))
         clean, toxic = used[label[used] == 0], used[label[used] == 1]
-        for clean_part in np.array_split(r.permutation(clean), max(1, 2 * len(clean) // BATCH)):
+        for clean_part in np.array_split(r.permutation(clean), each):
             some = np.concatenate((clean_part, r.choice(toxic, min(len(toxic), BATCH // 2), replace=False)))
             own, place = np.unique(rows[some], return_inverse=True)
             place = place.reshape(len(some), WINDOW)
@@ -270,12 +271,13 @@ def fit_texts(texts: list[list[str]], label: np.ndarray) -> Model:
 
 
 def _logistic(x: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and shift that make the logistic of ``x`` fit the labels, by Newton steps with a small penalty."""
+    """Slope and shift that make the logistic of ``x`` fit the labels, both alike in weight, by Newton steps with a small penalty."""
     a, b = 1.0, 0.0
+    weight = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean()))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w = np.maximum(p * (1 - p), 1e-6)
-        g = np.array([((p - label) * x).sum() + 0.1 * (a - 1), (p - label).sum() + 0.1 * b])
+        w, off = np.maximum(p * (1 - p), 1e-6) * weight, (p - label) * weight
+        g = np.array([(off * x).sum() + 0.1 * (a - 1), off.sum() + 0.1 * b])
         h = np.array([[(w * x * x).sum() + 0.1, (w * x).sum()], [(w * x).sum(), w.sum() + 0.1]])
         step = np.linalg.solve(h, g)
         a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -2, 2))
