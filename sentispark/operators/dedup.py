@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sentispark.operators.components import connected_components
 from sentispark.session import cut_lineage
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 SALTS = 64
 CHAIN_ROUNDS = 8
-CHAIN_ROWS = 100_000
 
 
 def text_key(text: Column | str) -> Column:
@@ -57,41 +58,57 @@ def without_keys(rows: DataFrame, taken: DataFrame, col: str, order: str, n_rows
             .select(*rows.columns))
 
 
-def _settle_chain(rows: DataFrame, order: str, id_col: str, key_col: str) -> DataFrame:
-    """The same rule for a bounded remainder, in arrival order."""
-    def walk(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        ids, keys, kept = set(), set(), []
-        for o, i, k in pdf.sort_values(order)[[order, id_col, key_col]].itertuples(index=False):
-            k = bytes(k)
-            if i not in ids and k not in keys:
-                ids.add(i)
-                keys.add(k)
-                kept.append(o)
-        yield pd.DataFrame({order: kept}, dtype="int64")
+def _settle_components(rows: DataFrame, order: str, id_col: str, key_col: str) -> DataFrame:
+    """The same rule inside each group of rows that hang together by shared keys, groups spread over the tasks.
+
+    Rows are numbered by order, linked to the first row of their id and of their key, and the components of
+    these links found in rounds that grow with the logarithm of a chain. Each task walks its components in order.
+    """
+    def first(col):
+        return rows.groupBy(col).agg(F.min(order).alias("_first"))
 
-    return rows.coalesce(1).mapInPandas(walk, f"`{order}` long")
+    number = F.xxhash64(order)
+    links = [rows.join(first(col), col).select(number.alias("src"), F.xxhash64("_first").alias("dst")) for col in (id_col, key_col)]
+    component = connected_components(links[0].union(links[1]))
+    grouped = (rows.withColumn("_row", number).join(component, F.col("_row") == F.col("id"), "left")
+               .select(F.coalesce("component", "_row").alias("_c"), F.col(order).alias("_o"), F.col(id_col).cast("string").alias("_i"),
+                       F.col(key_col).alias("_k"))
+               .repartition("_c").sortWithinPartitions("_c", "_o"))
+
+    def walk(batches):
+        now, ids, keys = None, set(), set()
+        for batch in batches:
+            kept = []
+            for at, (c, i, k) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("_c", "_i", "_k")))):
+                if c != now:
+                    now, ids, keys = c, set(), set()
+                if i not in ids and k not in keys:
+                    ids.add(i)
+                    keys.add(k)
+                    kept.append(at)
+            taken = batch.column("_o").take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([taken], ["_o"])
+
+    out = T.StructType([T.StructField("_o", rows.schema[order].dataType)])
+    return grouped.mapInArrow(walk, out).withColumnRenamed("_o", order)
 
 
 def surviving_orders(keys: DataFrame, order: str, id_col: str, key_col: str,
-                     hot_rows: int = HOT_ROWS, chain_rounds: int = CHAIN_ROUNDS,
-                     chain_rows: int = CHAIN_ROWS) -> DataFrame:
+                     hot_rows: int = HOT_ROWS, chain_rounds: int = CHAIN_ROUNDS) -> DataFrame:
     """Order values of the rows a sequential first-wins pass over two unique keys keeps.
 
     Each round keeps the rows that are earliest in both of their groups and
     drops whoever shares a key with them; no earlier undecided row can block
     such a row, and no dropped row can come back, so the rounds reach the
-    sequential result. Every round keeps at least the earliest undecided row.
-    Long chains of collisions leave a thin remainder: once it is down to
-    ``chain_rows`` narrow rows after ``chain_rounds`` rounds, one task ends it.
+    sequential result. What ``chain_rounds`` rounds leave are long chains of
+    collisions; they are settled component by component. ``order`` may be of
+    any type that sorts, a struct too.
     """
     undecided = cut_lineage(keys.select(order, id_col, key_col))
     kept = []
-    rounds = 0
     left = undecided.count()
-    while left:
-        if rounds >= chain_rounds and left <= chain_rows:
-            kept.append(cut_lineage(_settle_chain(undecided, order, id_col, key_col)))
+    for _ in range(chain_rounds):
+        if not left:
             break
         first_by_id = undecided.groupBy(id_col).agg(F.min(order).alias(order))
         first_by_key = undecided.groupBy(key_col).agg(F.min(order).alias(order))
@@ -101,7 +118,8 @@ def surviving_orders(keys: DataFrame, order: str, id_col: str, key_col: str,
         rest = without_keys(rest, winners, key_col, order, left, hot_rows)
         undecided = cut_lineage(rest)
         left = undecided.count()
-        rounds += 1
+    if left:
+        kept.append(cut_lineage(_settle_components(undecided, order, id_col, key_col)))
     if not kept:
         return undecided.select(order)
     out = kept[0]

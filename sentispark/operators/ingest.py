@@ -88,27 +88,31 @@ def ingest(batch: DataFrame, store: DataFrame | None = None) -> DataFrame:
 def insert_counts(hits: DataFrame) -> DataFrame:
     """New rows per keyword and in total (keyword null); keywords are processed in list order,
     so a post found by several keywords counts for the first."""
-    ordered = hits.withColumn("_order", F.col("keyword_pos").cast("long") * F.lit(10 ** 15) + F.col("seq"))
+    ordered = hits.withColumn("_order", F.struct("keyword_pos", "seq"))
     kept = dedup_first_wins(ordered, order="_order")
     return kept.rollup("keyword").agg(F.count("*").alias("inserted"))
 
 
 def upsert_columns(table: DataFrame, updates: DataFrame, columns: Sequence[str],
-                   key: str = "tweet_id") -> DataFrame:
+                   key: str = "tweet_id", order: str | None = None) -> DataFrame:
     """Set ``columns`` by key from ``updates``; rows without an update keep their values.
 
-    All columns come from the same side of a match, as one UPDATE would set them.
+    All columns come from the same side of a match, as one UPDATE would set them. Of several updates of a key the
+    last by ``order`` wins; without an order the greatest by value, so that reruns agree. A row is never multiplied.
     """
-    new = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
+    values = F.struct(*columns)
+    last = F.max(values) if order is None else F.max_by(values, order)
+    new = updates.groupBy(key).agg(last.alias("_v")).select(
+        key, *[F.col("_v")[c].alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     joined = table.join(new, key, "left")
     for c in columns:
         joined = joined.withColumn(c, F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)))
     return joined.select(*table.columns)
 
 
-def upsert_clean(table: DataFrame, cleaned: DataFrame) -> DataFrame:
-    return upsert_columns(table, cleaned, ["cleaned_text"])
+def upsert_clean(table: DataFrame, cleaned: DataFrame, order: str | None = None) -> DataFrame:
+    return upsert_columns(table, cleaned, ["cleaned_text"], order=order)
 
 
-def upsert_label(table: DataFrame, labelled: DataFrame) -> DataFrame:
-    return upsert_columns(table, labelled, ["sentiment_score", "label"])
+def upsert_label(table: DataFrame, labelled: DataFrame, order: str | None = None) -> DataFrame:
+    return upsert_columns(table, labelled, ["sentiment_score", "label"], order=order)

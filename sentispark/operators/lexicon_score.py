@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from sentispark.functions.sentiment import label_of
 from sentispark.functions.text import each, tokens
-from sentispark.operators.lookup import MAX_BROADCAST_ROWS, MAX_LITERAL_WORDS, literal_map, lookup
+from sentispark.operators.lookup import MAX_BROADCAST_ROWS, MAX_LITERAL_WORDS, distinct_texts, literal_map, lookup
+from sentispark.operators.dedup import text_key
+from sentispark.session import cut_lineage
 
 
 def word_totals(lexicon: DataFrame) -> DataFrame:
@@ -29,9 +31,9 @@ def with_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id", tex
     """Add ``sentiment_score`` and ``label``; null and empty texts score 0.
 
     A lexicon of usual size goes into the plan and scoring is a projection: no
-    explode, no shuffle. A larger one is joined token by token; the outer
-    explode keeps rows without words, and the partial sum leaves one row per
-    post and task before the shuffle. ``key`` must be unique then.
+    explode, no shuffle. A larger one is joined token by token for every
+    distinct text, and rows find their score by the digest of their text: it
+    depends on the text alone, whatever the key and the size of the lexicon.
     """
     totals = word_totals(lexicon)
     weight_of = literal_map(totals, "total", "bigint", max_literal)
@@ -39,11 +41,14 @@ def with_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id", tex
         none = F.lit(0).cast("long")
         score = F.aggregate(tokens(text), none, lambda acc, w: acc + F.coalesce(weight_of(w), none))
         return df.withColumn("sentiment_score", score).withColumn("label", label_of(F.col("sentiment_score")))
-    words = df.select(key, F.explode_outer(tokens(text)).alias("word"))
-    weighed = lookup(words, totals, "word", "left", [key], max_rows)
-    scores = weighed.groupBy(key).agg(
-        F.sum(F.coalesce("total", F.lit(0).cast("long"))).alias("sentiment_score"))
-    return df.join(scores.withColumn("label", label_of(F.col("sentiment_score"))), key)
+    words = distinct_texts(df, text).select("_d", F.explode_outer(tokens("_text")).alias("word"))
+    weighed = lookup(words, cut_lineage(totals), "word", "left", ["_d"], max_rows)
+    zero = F.lit(0).cast("long")
+    scores = weighed.groupBy("_d").agg(F.sum(F.coalesce("total", zero)).alias("_score"))
+    scored = df.withColumn("_d", text_key(text)).join(scores, "_d", "left")
+    kept = [c for c in df.columns if c not in ("sentiment_score", "label")]
+    return (scored.withColumn("sentiment_score", F.coalesce("_score", zero))
+            .withColumn("label", label_of(F.col("sentiment_score"))).select(*kept, "sentiment_score", "label"))
 
 
 def lexicon_label(df: DataFrame, lexicon: DataFrame, key: str = "tweet_id",

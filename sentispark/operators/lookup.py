@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentispark.functions.text import join_words, tokens
+from sentispark.operators.dedup import text_key
+from sentispark.session import cut_lineage
 
 MAX_BROADCAST_ROWS = 1_000_000   # word tables: some 30 MB
 MAX_LITERAL_WORDS = 20_000       # word maps carried inside the plan
@@ -60,23 +62,30 @@ def replace_words(df: DataFrame, key: str, text: str, mapping: DataFrame,
     a word mapped to '' is dropped.
 
     A small table goes into the plan and the work stays inside the row. A
-    larger one is joined word by word, and the texts are put together again by
-    ``key``, which must be unique.
+    larger one is joined word by word for every distinct text, and rows find
+    their new text by its digest: the result of a row depends on its text
+    alone, whatever its key and the size of the table.
     """
     mapping = mapping.groupBy("word").agg(F.min("stem").alias("stem"))
     found = literal_map(mapping, "stem", "string", max_literal)
     if found is not None:
         mapped = F.transform(tokens(text), lambda w: F.coalesce(found(w), w))
         return df.withColumn(text, join_words(F.array_remove(mapped, "")))
-    words = df.select(key, F.posexplode_outer(tokens(text)).alias("pos", "word")).where("word IS NOT NULL")
-    stems = lookup(words, mapping, "word", "left", [key, "pos"], max_rows)
-    kept = stems.select(key, "pos", F.coalesce("stem", "word").alias("w")).where("w <> ''")
-    texts = kept.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "w"))).alias("_words"))
+    mapping = cut_lineage(mapping)
+    texts = distinct_texts(df, text)
+    words = texts.select("_d", F.posexplode_outer(tokens("_text")).alias("pos", "word")).where("word IS NOT NULL")
+    stems = lookup(words, mapping, "word", "left", ["_d", "pos"], max_rows)
+    kept = stems.select("_d", "pos", F.coalesce("stem", "word").alias("w")).where("w <> ''")
+    gathered = kept.groupBy("_d").agg(F.array_sort(F.collect_list(F.struct("pos", "w"))).alias("_words"))
     joined = F.array_join(F.transform("_words", lambda s: s["w"]), " ")
-    texts = texts.select(key, joined.alias("_new"))
-    return (df.join(texts, key, "left")
-            .withColumn(text, F.coalesce("_new", F.lit(""))).drop("_new"))
+    made = gathered.select("_d", joined.alias("_new"))
+    return (df.withColumn("_d", text_key(text)).join(made, "_d", "left")
+            .withColumn(text, F.coalesce("_new", F.lit(""))).select(*df.columns))
+
+
+def distinct_texts(df: DataFrame, text: str) -> DataFrame:
+    """``_d, _text``: every text once, under its digest; nulls have none."""
+    return df.where(F.col(text).isNotNull()).select(text_key(text).alias("_d"), F.col(text).alias("_text")).dropDuplicates(["_d"])
 
 
 def drop_listed_words(df: DataFrame, key: str, text: str, stopwords: DataFrame, **limits) -> DataFrame:

@@ -129,7 +129,7 @@ SQL_POSTS = f"""posts AS (SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS tweet
   CASE doc_id % 3 WHEN 1 THEN '' WHEN 2 THEN 'https://example.org/p/' || doc_id END AS tweet_url,
   CAST(NULL AS VARCHAR) AS reply_to_id, {_sql_time('doc_id')} AS scraped_at FROM documents)"""
 
-SQL_TURNS = f"""turns AS (SELECT conv_id * 1000 + turn AS seq, conv_id || '-' || turn AS tweet_id,
+SQL_TURNS = f"""turns AS (SELECT conv_id * 4294967296 + turn AS seq, conv_id || '-' || turn AS tweet_id,
   role AS username, {_sql_time('conv_id * 1000 + turn')} AS created_at, text AS raw_text, 'conv' AS keyword,
   CAST(NULL AS VARCHAR) AS tweet_url,
   CASE WHEN turn > 0 THEN conv_id || '-' || (turn - 1) END AS reply_to_id,

@@ -29,7 +29,7 @@ def _document_lines(spark, sf_dir):
 def _turn_lines(spark, sf_dir):
     c, t = F.col("conv_id"), F.col("turn")
     return (read_table(spark, sf_dir, "conversations")
-            .select((c * 1000 + t).alias("line"), F.regexp_extract("text", FIRST, 1).alias("word"),
+            .select((F.shiftleft(c, 32) + t).alias("line"), F.regexp_extract("text", FIRST, 1).alias("word"),
                     (-1 - (c + t) % 5).cast("string").alias("weight")))
 
 
@@ -41,7 +41,7 @@ SQL_DOC_LEXICON = r"""dlines AS (SELECT doc_id AS line, '  ' || regexp_extract(t
       CAST(trim(weight) AS INT) AS weight FROM dlines WHERE regexp_full_match(trim(weight), '[+-]?[0-9]+'))
     GROUP BY word)"""
 SQL_TURN_LEXICON = r"""tlex AS (SELECT word, arg_max(weight, line) AS weight FROM (
-    SELECT conv_id * 1000 + turn AS line, lower(regexp_extract(text, '^\s*(\S+)', 1)) AS word,
+    SELECT conv_id * 4294967296 + turn AS line, lower(regexp_extract(text, '^\s*(\S+)', 1)) AS word,
       CAST(-1 - (conv_id + turn) % 5 AS INT) AS weight FROM conversations) GROUP BY word)"""
 
 

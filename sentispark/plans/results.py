@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sentispark.operators import evaluate
 from sentispark.operators.features import top_mean_terms
+from sentispark.operators.queues import training_set
 from sentispark.operators.reports import dominant_label, label_distribution, label_stats
 from sentispark.plans.phases import Training, score_corpus
 
@@ -68,13 +69,14 @@ def _rows(df: DataFrame, section: str, pairs: dict, prefix=None) -> DataFrame:
 def evaluation_report(posts: DataFrame, fitted: Training) -> DataFrame:
     """The figures of the text report as (section, item, value) rows."""
     col = F.col
-    stats = label_stats(posts)
+    base = training_set(posts, False)  # labelled posts that also have a cleaned text
+    stats = label_stats(base)
     labels = ("positive", "negative", "neutral")
     parts = [
         _rows(stats, "distribution", {
             "labelled": col("total_labeled"), **{l: col(l) for l in labels},
             **{f"{l}_pct": col(f"{l}_pct") for l in labels}}),
-        _rows(dominant_label(posts), "distribution", {"dominant": col("label"), "dominant_pct": col("pct")}),
+        _rows(dominant_label(base), "distribution", {"dominant": col("label"), "dominant_pct": col("pct")}),
         _rows(stats, "dataset", {
             "rows": col("positive") + col("negative"), "positive": col("positive"),
             "negative": col("negative"), "train": F.lit(fitted.train_size), "test": F.lit(fitted.test_size)}),
@@ -89,7 +91,7 @@ def evaluation_report(posts: DataFrame, fitted: Training) -> DataFrame:
     parts.append(_rows(winner, "winner", {c: col(c) for c in winner.columns}))
     opinion = evaluate.opinion_conclusion(score_corpus(posts, fitted))
     parts.append(_rows(opinion, "opinion", {c: col(c) for c in opinion.columns if c != "model"}, model))
-    parts.append(_rows(label_distribution(posts).where(col("label") == "neutral"), "neutral",
+    parts.append(_rows(label_distribution(base).where(col("label") == "neutral"), "neutral",
                        {"excluded": col("n")}))
     out = parts[0]
     for p in parts[1:]:

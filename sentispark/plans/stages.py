@@ -45,9 +45,12 @@ def _append(df: DataFrame, root: str, name: str) -> None:
 def with_arrival(batch: DataFrame, after: int) -> DataFrame:
     """Number a batch in file and row order behind what is stored.
 
-    The numbers are fixed by a checkpoint: dedup reads them more than once.
+    The batch is sorted by file name, block and row first, as Spark reads files in the order of their sizes. The
+    numbers are fixed by a checkpoint: dedup reads them more than once.
     """
-    return cut_lineage(batch.withColumn("seq", F.monotonically_increasing_id() + F.lit(after + 1)))
+    placed = batch.withColumns({"_file": F.input_file_name(), "_block": F.input_file_block_start(), "_row": F.monotonically_increasing_id()})
+    ordered = placed.orderBy("_file", "_block", "_row").drop("_file", "_block", "_row")
+    return cut_lineage(ordered.withColumn("seq", F.monotonically_increasing_id() + F.lit(after + 1)))
 
 
 def ingest_stage(batch: DataFrame, root: str) -> None:

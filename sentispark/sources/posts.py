@@ -86,8 +86,8 @@ def posts_from_documents(docs: DataFrame) -> DataFrame:
 
 def posts_from_conversations(turns: DataFrame) -> DataFrame:
     """Posts view of the conversations table; every turn after the first is a reply."""
-    seq = F.col("conv_id") * 1000 + F.col("turn")
-    arrived = _minutes_after_start(seq)
+    seq = F.shiftleft(F.col("conv_id"), 32) + F.col("turn")  # room for any number of turns
+    arrived = _minutes_after_start(F.col("conv_id") * 1000 + F.col("turn"))
     return turns.select(
         seq.alias("seq"),
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("tweet_id"),

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from sentispark.operators.dedup import dedup_exact_text, dedup_first_wins
-from sentispark.operators.ingest import (evolve_schema, insert_counts, insert_new, keyword_latest, upsert_label,
+from sentispark.operators.ingest import (upsert_clean, evolve_schema, insert_counts, insert_new, keyword_latest, upsert_label,
                                          valid_posts, with_matched_keyword)
 
 SCHEMA = "seq long, tweet_id string, raw_text string"
@@ -13,7 +13,7 @@ CASES = [
     ([(1, "A", "t1"), (2, "A", "t2"), (3, "B", "t2"), (4, "B", "t3"), (5, "C", "t3")], [1, 3, 5]),
     ([(1, "A", "Halo"), (2, "B", "halo")], [1, 2]),
 ]
-LIMITS = [{}, {"hot_rows": 3}, {"chain_rounds": 1}, {"hot_rows": 2, "chain_rows": 0}]
+LIMITS = [{}, {"hot_rows": 3}, {"chain_rounds": 1}, {"chain_rounds": 0}, {"hot_rows": 2, "chain_rounds": 2}]
 
 
 def sequential(rows, stored=()):
@@ -55,7 +55,7 @@ def test_one_text_holds_a_third(spark, hot_rows):
     assert kept_of(insert_new(store, batch, hot_rows=hot_rows)) == sequential(rows, stored)
 
 
-def test_long_chain_ends_in_one_task(spark):
+def test_many_long_chains(spark):
     rows, n = [], 0
     for k in range(60):
         rows += [(n, f"i{k}", f"t{k}"), (n + 1, f"i{k}", f"t{k + 1}")]
@@ -107,3 +107,15 @@ def test_schema_growth_and_upsert(spark):
                                 "tweet_id string, sentiment_score long, label string")
     assert sorted(tuple(r) for r in upsert_label(table, new).collect()) == [
         ("1", -2, "negative"), ("2", 4, "positive")]
+
+
+def test_counts_of_large_order_numbers(spark):
+    rows = [(2 * 10 ** 15, "a", "x", 0, "first"), (5, "b", "x", 1, "second")]
+    hits = spark.createDataFrame(rows, "seq long, tweet_id string, raw_text string, keyword_pos int, keyword string")
+    assert {r.keyword: r.inserted for r in insert_counts(hits).collect()} == {"first": 1, None: 1}
+
+
+def test_repeated_updates_do_not_multiply_rows(spark):
+    table = spark.createDataFrame([("1", None)], "tweet_id string, cleaned_text string")
+    new = spark.createDataFrame([("1", "old", 1), ("1", "new", 2)], "tweet_id string, cleaned_text string, n int")
+    assert [tuple(r) for r in upsert_clean(table, new, order="n").collect()] == [("1", "new")]

@@ -1,4 +1,7 @@
-from sentispark.operators.lexicon_score import contributions, lexicon_label, lexicon_overlap
+import pytest
+
+from sentispark.operators.lexicon_score import contributions, lexicon_label, lexicon_overlap, with_sentiment
+from sentispark.operators.lookup import replace_words
 from sentispark.sources.lexicon import load_lexicon, union_lexica
 from sentispark.sources.posts import literal_table
 
@@ -37,3 +40,15 @@ def test_scores(spark):
                        "5": (0, "neutral"), "6": (0, "neutral")}
     parts = {(r.tweet_id, r.word): (r.occurrences, r.weight, r.contribution) for r in contributions(rows, words).collect()}
     assert parts[("1", "bagus")] == (2, 3, 6) and parts[("6", "ya")] == (3, -1, -3)
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_literal": 0}, {"max_literal": 0, "max_rows": 0}])
+def test_scores_depend_on_the_text_alone(spark, limits):
+    rows = spark.createDataFrame([("a", "bagus"), ("a", "bagus bagus"), (None, "bagus"), ("b", None), ("c", "")],
+                                 "tweet_id string, cleaned_text string")
+    lexicon = spark.createDataFrame([("bagus", 2)], "word string, weight int")
+    got = sorted((str(r.tweet_id), r.cleaned_text or "", r.sentiment_score) for r in with_sentiment(rows, lexicon, **limits).collect())
+    assert got == [("None", "bagus", 2), ("a", "bagus", 2), ("a", "bagus bagus", 4), ("b", "", 0), ("c", "", 0)]
+    stems = spark.createDataFrame([("bagus", "baik")], "word string, stem string")
+    got = sorted((str(r.tweet_id), r.cleaned_text or "") for r in replace_words(rows, "tweet_id", "cleaned_text", stems, **limits).collect())
+    assert got == [("None", "baik"), ("a", "baik"), ("a", "baik baik"), ("b", ""), ("c", "")]
