@@ -27,6 +27,22 @@ def test_recall_of_pairs_just_over_the_threshold(spark):
     assert sum(found.values()) >= 0.9 * close.sum()
 
 
+def test_recall_inside_a_crowd_of_distinct_near_copies(spark):
+    rng = np.random.default_rng(12)
+    n, crowd, width = 100_000, 33_000, 64
+    rows = rng.normal(size=(n, width))
+    rows[:crowd] = rows[0] / np.linalg.norm(rows[0]) + rng.normal(size=(crowd, width)) * np.sqrt((1 / 0.92 - 1) / width)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    close = np.concatenate([(rows[a:a + 1000] @ rows[:crowd].T >= 0.9).sum(1) - 1 for a in range(0, crowd, 1000)])
+    assert (close > 0).all()
+    at = pa.array(np.arange(n + 1, dtype=np.int32) * width)
+    table = pa.table({"vec_id": np.arange(n), "embedding": pa.ListArray.from_arrays(at, pa.array(rows.ravel()))})
+    found = vector_dedup.near_vectors(spark.createDataFrame(table).repartition(8)).toPandas().set_index("vec_id").sort_index()
+    links = found.n_links.to_numpy()
+    assert (links[:crowd] <= close).all() and links[:crowd].sum() >= 0.9 * close.sum()
+    assert (links[:crowd] >= 0.9 * close).mean() >= 0.99 and (found.component_id[:crowd] == 0).mean() >= 0.99
+
+
 def test_ids_of_hard_texts():
     import public_tokenizers
     from tokenizers import Tokenizer
