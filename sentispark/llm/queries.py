@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sentispark.llm import (block_knn, chat_format, html_extraction, language_id, mixing, ngram_join, packing,
-                            substring_dedup, toxicity, vector_dedup)
+from sentispark.llm import (block_knn, byte_bpe, chat_format, fill_in_middle, html_extraction, language_id, mixing, ngram_join,
+                            packing, substring_dedup, toxicity, vector_dedup)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -172,3 +172,37 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(docs, toxicity.fit(docs, labels))
     return found.select("doc_id", (remainder() == 1).alias("held_out"), F.col("toxicity").alias("score"),
                         (F.col("toxicity") >= 0.7).cast("int").alias("predicted"))
+
+
+_FILL_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units FROM documents),
+d AS (SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT % (len(units) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(units) + 1) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                       OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+                  WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM t),
+c AS (SELECT *, array_to_string(units[1:least(a, b)], '') AS prefix, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+             array_to_string(units[greatest(a, b) + 1:], '') AS suffix FROM d)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM c"""
+
+
+@query("op11_fill_in_middle", _FILL_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two token boundaries and written as a fill-in-middle example, and what is read back from it."""
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as ids of a byte-level vocabulary, and the text that the ids give back."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    both = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
