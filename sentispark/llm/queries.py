@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentispark.llm import (block_knn, byte_bpe, chat_format, fill_in_middle, html_extraction, language_id, mixing, ngram_join,
-                            packing, substring_dedup, toxicity, vector_dedup)
+                            packing, substring_dedup, toxicity, vector_dedup, whitening)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -206,3 +206,9 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     both = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), path), path)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight components of largest variance, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
