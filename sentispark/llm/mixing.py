@@ -7,12 +7,15 @@ one gives the words that are left. Only ids, sources and sizes are exchanged, ne
 see ``order.running``.
 
 Defined results: null texts have size 0 and take 0; null sources are one source; a source without words has target 0;
-repeated rows are documents of their own; an empty table gives an empty result. Collected are the totals of the sources.
+repeated rows are documents of their own; texts may be of any length; null ids are ids; an empty table gives an empty result.
+``mix_sources`` reads no other columns; ``mixed_rows`` hands all on, whatever their names. Collected are the totals of the
+sources.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sentispark.llm.order import running
@@ -26,6 +29,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def keys(id_col: str, text_col: str, source_col: str) -> list[Column]:
+    """Two numbers of 64 bits that name an id, text and source; rows that repeat all three share them."""
+    parts = [F.col(c) for c in (id_col, text_col, source_col)]
+    parts += [p.isNull() for p in parts]
+    return [F.xxhash64(*parts).alias("doc_key"), F.xxhash64(F.lit(1), *parts).alias("doc_key2")]
+
+
 def targets(totals: list[tuple[str | None, int]], weights: tuple = WEIGHTS, share: float = 1.0,
             max_epochs: int = MAX_EPOCHS) -> list[tuple[str | None, int, float]]:
     """Source, size and target of each source."""
@@ -48,10 +58,10 @@ def targets(totals: list[tuple[str | None, int]], weights: tuple = WEIGHTS, shar
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                 weights: tuple = WEIGHTS, share: float = 1.0, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Per row ``doc_id, source, doc_key, size, source_size, target, taken``."""
+    """Per row ``doc_id, source, doc_key, doc_key2, size, source_size, target, taken``."""
     sized = cut_lineage(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc_key"), word_count(F.col(text_col)).alias("size")))
+        *keys(id_col, text_col, source_col), word_count(F.col(text_col)).alias("size")))
     totals = [tuple(r) for r in sized.groupBy("source").agg(F.sum("size")).collect()]
     if not totals:
         return sized.select("*", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"),
@@ -63,17 +73,29 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     part = F.greatest(F.lit(0), F.least(F.col("size"), budget - epochs * F.col("source_size") - F.col("before")))
-    return placed.select("doc_id", "source", "doc_key", "size", "source_size", "target",
+    return placed.select("doc_id", "source", "doc_key", "doc_key2", "size", "source_size", "target",
                          (epochs * F.col("size") + part).cast("long").alias("taken"))
 
 
-def mixed_rows(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of the mix: each document as often as it is taken whole, and the one cut short with its first words."""
-    take = mix.where("taken > 0").groupBy("doc_key").agg(F.first("size").alias("_size"), F.max("taken").alias("_taken"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(id_col), F.col(text_col)))
-    turns = F.ceil(F.col("_taken") / F.col("_size")).cast("int")
-    rows = keyed.join(take, F.col("_key") == F.col("doc_key")).withColumn("_turn", F.explode(F.sequence(F.lit(1), turns)))
-    left = (F.col("_taken") - (F.col("_turn") - 1) * F.col("_size")).cast("int")
-    words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"))
-    text = F.when(left >= F.col("_size"), F.col(text_col)).otherwise(F.array_join(F.slice(words, 1, F.greatest(left, F.lit(1))), " "))
-    return rows.withColumn(text_col, text).select(*docs.columns)
+def mixed_rows(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               source_col: str = "source") -> DataFrame:
+    """The rows of the mix: each document as often as it is taken whole, and the one cut short with its first words.
+
+    Of rows that repeat id, text and source some are taken oftener, at most one in part and the others less often: the
+    greatest and the least number and their sum say how many, so a copy's own number says how much it gives.
+    """
+    take = mix.groupBy("doc_key", "doc_key2").agg(F.first("size").alias("size"), F.max("taken").alias("most"), F.min("taken").alias("least"),
+                                                  (F.sum("taken") - F.count("*") * F.min("taken")).alias("more")).where("most > 0")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *keys(id_col, text_col, source_col))
+    copy = F.row_number().over(W.partitionBy("doc_key", "doc_key2").orderBy("doc_key"))
+    rows = keyed.withColumn("copy", copy).join(take, ["doc_key", "doc_key2"])
+    step = F.col("most") - F.col("least")
+    taken = F.col("least") + F.greatest(F.lit(0), F.least(step, F.col("more") - (F.col("copy") - 1) * step))
+    rows = rows.select("row", "size", taken.alias("taken")).where("taken > 0")
+    turns = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
+    rows = rows.select("row", "size", "taken", F.explode(turns).alias("turn"))
+    left = (F.col("taken") - (F.col("turn") - 1) * F.col("size")).cast("int")
+    whole = F.col("row")[text_col]
+    words = F.regexp_extract_all(whole, F.lit(f"({WORD})"))
+    text = F.when(left >= F.col("size"), whole).otherwise(F.array_join(F.slice(words, 1, F.greatest(left, F.lit(1))), " "))
+    return rows.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

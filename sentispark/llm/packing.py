@@ -7,6 +7,9 @@ the classes, a knapsack by dynamic programming finds the configuration worth mos
 rounded; what the rounding leaves is packed best fit, longest first. Then every piece finds its sequence by its class
 and its rank in it, and the pieces of a sequence are laid end to end.
 
+Ids are written once, as a table in the shared folder, and meet their places in one last join; what is ranked and placed are
+narrow rows.
+
 Defined results: null texts are empty and become the end mark alone; repeated rows are documents of their own; an empty
 table gives an empty result; other columns are not read.
 """
@@ -26,14 +29,13 @@ from pyspark.sql import functions as F
 from sentispark.llm.order import running
 from sentispark.llm.tokens import WordEncoder
 from sentispark.llm.words import text_slices
-from sentispark.session import cut_lineage
+from sentispark.session import scratch_path
 
 CAPACITY, END = 4096, 1
 #: Lengths are planned in classes of this many tokens, counted at the longest of the class.
 GRAIN = 4
 #: Configurations priced at most, how fast the price of a covered length falls, and the share of a length's pieces that one may cover.
 ROUNDS, RATE, STEP = 1500, 4.0, 0.6
-_ENCODERS: dict[str, WordEncoder] = {}
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -42,7 +44,11 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     schema = "doc_id long, doc_key long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc_key"),
                        F.col(text_col).cast("string").alias("text"))
-    pieces = cut_lineage(rows.mapInArrow(lambda b: _pieces(b, tokenizer, capacity, with_ids), schema))
+    path = scratch_path(docs.sparkSession, "pieces")
+    made = rows.mapInArrow(lambda b: _pieces(b, tokenizer, capacity, with_ids), schema)
+    made.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    written = docs.sparkSession.read.parquet(path)
+    pieces = written.select("row", "doc_id", "doc_key", "piece", "length")
     grain = min(GRAIN, capacity)
     classes = -(-capacity // grain)
     classed = pieces.withColumn("class", F.ceil(F.col("length") / grain).cast("long"))
@@ -50,15 +56,16 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     for length, n in classed.groupBy("class").count().collect():  # at most ``classes`` rows
         counts[length] = n
     layout = arrange(counts, capacity // grain)
-    ranked = running(classed, "class", "doc_key", ["doc_id", "piece"], F.lit(1), "rank")
-    placed = ranked.mapInArrow(lambda b: _place(b, layout), schema + ", sequence_id long, slot long")
+    ranked = running(classed, "class", "doc_key", ["row"], F.lit(1), "rank")
+    placed = ranked.select("row", "length", "class", "rank").mapInArrow(
+        lambda b: _place(b, layout), "row long, length long, sequence_id long, slot long")
     before = W.partitionBy("sequence_id").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).drop("doc_key", "slot")
+    offsets = placed.select("row", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
+    return written.drop("doc_key").join(offsets, "row").drop("row")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder = _ENCODERS.setdefault(path, None) or WordEncoder(path)
-    _ENCODERS[path] = encoder
+    encoder = WordEncoder(path)
     for batch in batches:
         for rows in text_slices(batch, limit=2 << 20):
             ids, first = encoder.encode(rows.column("text"))

@@ -1,14 +1,17 @@
-"""Token ids of whole texts, each distinct word encoded once per worker."""
+"""Token ids of whole texts, each distinct word encoded once per task."""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
+from tokenizers import Tokenizer
 
 from sentispark.llm.words import words
 
-#: Distinct words whose ids a worker keeps; beyond it starts anew.
-MEMORY = 1_500_000
+#: Distinct words whose ids a task keeps, at some 40 bytes each; beyond it starts anew.
+MEMORY = 600_000
 _TRAILING = np.zeros(256, bool)
 _TRAILING[list(b".,!?*%$#&;:")] = True
 _LETTER = np.zeros(256, bool)
@@ -23,46 +26,49 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.first, self.size, self.ids, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
+        self.hash, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(4096, np.uint32), 0
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the place where each text's ids begin."""
         w = _cut_marks(words(texts))
         distinct, where, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > MEMORY:
+        if len(self.hash) + len(distinct) > MEMORY:
             self._forget()
-        known = self.known
-        at = np.fromiter((known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
-        new = np.flatnonzero(at < 0)
+        at = np.searchsorted(self.hash, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = at < len(self.hash)
+        known[inside] = self.hash[at[inside]] == distinct[inside]
+        new = np.flatnonzero(~known)
         if len(new):
             raw = w.data.tobytes()
             found = self.tokenizer.encode_batch_fast([raw[w.start[i]:w.end[i]].decode() for i in where[new]], add_special_tokens=False)
-            at[new] = self._add(distinct[new].tolist(), [e.ids for e in found])
+            self._add(distinct[new], at[new], [e.ids for e in found])
+            at = np.searchsorted(self.hash, distinct)
         at = at[inverse]
         size = self.size[at]
         stop = np.concatenate(([0], np.cumsum(size)))
         take = np.repeat(self.first[at] - stop[:-1], size) + np.arange(stop[-1])
         return self.ids[take], stop[w.first]
 
-    def _add(self, hashes: list[int], ids: list[list[int]]) -> np.ndarray:
-        begin = len(self.known)
+    def _add(self, hashes: np.ndarray, at: np.ndarray, ids: list[list[int]]) -> None:
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum()))
-        self.first, self.size = _room(self.first, begin + len(ids)), _room(self.size, begin + len(ids))
         self.ids = _room(self.ids, self.used + len(flat))
-        self.size[begin:begin + len(ids)] = size
-        self.first[begin:begin + len(ids)] = self.used + np.cumsum(size) - size
         self.ids[self.used:self.used + len(flat)] = flat
+        begin = self.used + np.cumsum(size) - size
         self.used += len(flat)
-        self.known.update(zip(hashes, range(begin, begin + len(ids))))
-        return np.arange(begin, begin + len(ids))
+        self.hash, self.first, self.size = (np.insert(x, at, y) for x, y in ((self.hash, hashes), (self.first, begin), (self.size, size)))
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(path: str) -> Tokenizer:
+    """Its size is that of the file; a worker keeps it."""
+    return Tokenizer.from_file(path)
 
 
 def _room(x: np.ndarray, size: int) -> np.ndarray:
