@@ -11,6 +11,7 @@ from sentispark.functions.sentiment import LABELS, parse_created_at, url_backfil
 from sentispark.functions.text import each
 from sentispark.operators.dedup import (HOT_ROWS, dedup_first_wins, pair_keys, store_keys,
                                         surviving_orders, without_keys)
+from sentispark.operators.keystore import IDS, TEXTS, KeyStore, taken_keys
 from sentispark.session import cut_lineage
 from sentispark.sources.posts import OPTIONAL, REQUIRED
 
@@ -63,25 +64,26 @@ def evolve_schema(df: DataFrame) -> DataFrame:
     return df.unionByName(target, allowMissingColumns=True)
 
 
-def insert_new(store: DataFrame, batch: DataFrame, order: str = "seq", id_col: str = "tweet_id",
-               text: str = "raw_text", hot_rows: int = HOT_ROWS) -> DataFrame:
+def insert_new(store: DataFrame | KeyStore, batch: DataFrame, order: str = "seq", id_col: str = "tweet_id",
+               text: str = "raw_text", hot_rows: int = HOT_ROWS, before: int | None = None) -> DataFrame:
     """Rows of a batch that enter the store: stored ids and texts win, then first wins.
 
-    ``store`` may be the posts or their narrow key table.
+    ``store`` is a key store, of which only the prefixes of the batch's keys are read and only the batches before
+    ``before``, or a table: the posts or their narrow keys, read whole.
     """
-    taken = store_keys(store, id_col, text)
     keys = cut_lineage(pair_keys(batch, order, id_col, text))
     n = keys.count()
-    keys = without_keys(keys, taken, id_col, order, n, hot_rows)
-    keys = without_keys(keys, taken, "_k", order, n, hot_rows)
+    for col, name in ((id_col, IDS), ("_k", TEXTS)):
+        taken = taken_keys(store, keys, col, name, before) if isinstance(store, KeyStore) else store_keys(store, id_col, text)
+        keys = without_keys(keys, taken, col, order, n, hot_rows)
     survivors = surviving_orders(keys, order, id_col, "_k", hot_rows)
     return batch.join(survivors, order, "left_semi")
 
 
-def ingest(batch: DataFrame, store: DataFrame | None = None) -> DataFrame:
+def ingest(batch: DataFrame, store: DataFrame | KeyStore | None = None, before: int | None = None) -> DataFrame:
     """Constraint filter, two-key dedup (against the store, if any), derived links."""
     rows = valid_posts(batch)
-    rows = dedup_first_wins(rows) if store is None else insert_new(store, rows)
+    rows = dedup_first_wins(rows) if store is None else insert_new(store, rows, before=before)
     return with_url(rows)
 
 

@@ -9,6 +9,7 @@ from sentispark.functions.sentiment import label_of
 from sentispark.functions.text import CUSTOM_STOPWORDS
 from sentispark.operators import ingest as ing
 from sentispark.operators.dedup import dedup_exact_text, dedup_first_wins
+from sentispark.operators.keystore import KeyStore, add_keys
 from sentispark.plans import inputs as ip
 from sentispark.plans.catalog import query
 from sentispark.plans.phases import preprocess, run_clean
@@ -80,10 +81,11 @@ def two_key(spark, sf_dir):
   row_number() OVER (ORDER BY seq % 3 <> 0, seq) AS rn FROM posts""")
        + " SELECT seq FROM walk WHERE kept AND seq % 3 <> 0")
 def incremental_insert(spark, sf_dir):
-    """A third of the posts is stored first; the rest arrives as one batch."""
+    """A third of the posts is stored first, its keys by hash prefix; the rest arrives as one batch."""
     rows = _colliding(spark, sf_dir)
-    store = dedup_first_wins(rows.where("seq % 3 = 0"))
-    return ing.insert_new(store, rows.where("seq % 3 <> 0")).select("seq")
+    keys = KeyStore(scratch_path(spark, "keys"))
+    add_keys(keys, dedup_first_wins(rows.where("seq % 3 = 0")), 0)
+    return ing.insert_new(keys, rows.where("seq % 3 <> 0"), before=1).select("seq")
 
 
 @query("insert_counts", f"""WITH {ip.SQL_POSTS}, {SQL_HITS}, first AS (SELECT keyword, row_number() OVER (

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from sentispark.operators.dedup import dedup_first_wins, store_keys
+from sentispark.operators.dedup import dedup_first_wins
 from sentispark.operators.ingest import insert_new, valid_posts, with_url
+from sentispark.operators.keystore import PREFIXES, KeyStore, add_keys
 from sentispark.operators.lexicon_score import with_sentiment
 from sentispark.session import cut_lineage
 from sentispark.sources.posts import POST_SCHEMA, spread
@@ -54,23 +54,22 @@ def stored(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def ingest_stream(stream: DataFrame, rows_out: str, keys_out: str, checkpoint: str) -> StreamingQuery:
+def ingest_stream(stream: DataFrame, rows_out: str, keys_out: str, checkpoint: str,
+                  prefixes: int = PREFIXES) -> StreamingQuery:
     """Insert new posts batch by batch under the two-key rule.
 
-    The ids and text digests of inserted rows go to a narrow table of their own,
-    so a batch never reads stored texts. A batch competes with the batches
+    The ids and text digests of inserted rows go to a key store under ``keys_out``, so a batch reads no stored texts, and
+    of the stored keys those that share a hash prefix with its own. A batch competes with the batches
     before it only, not with output of its own earlier attempt, so repeating it
     gives the same rows.
     """
+    keys = KeyStore(keys_out, prefixes)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = valid_posts(batch)
-        if batch_id == 0:
-            fresh = dedup_first_wins(rows)
-        else:
-            before = stored(batch.sparkSession, keys_out).where(F.col(BATCH) < batch_id)
-            fresh = insert_new(before, rows)
+        fresh = dedup_first_wins(rows) if batch_id == 0 else insert_new(keys, rows, before=batch_id)
         fresh = cut_lineage(with_url(fresh))
         _replace_batch(fresh, rows_out, batch_id)
-        _replace_batch(store_keys(fresh), keys_out, batch_id)
+        add_keys(keys, fresh, batch_id)
 
     return _start(stream, checkpoint, handle)

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from sentispark.operators.dedup import dedup_exact_text, dedup_first_wins
+from sentispark.operators.dedup import dedup_exact_text, dedup_first_wins, surviving_orders
 from sentispark.operators.ingest import (upsert_clean, evolve_schema, insert_counts, insert_new, keyword_latest, upsert_label,
                                          valid_posts, with_matched_keyword)
 
@@ -13,7 +13,7 @@ CASES = [
     ([(1, "A", "t1"), (2, "A", "t2"), (3, "B", "t2"), (4, "B", "t3"), (5, "C", "t3")], [1, 3, 5]),
     ([(1, "A", "Halo"), (2, "B", "halo")], [1, 2]),
 ]
-LIMITS = [{}, {"hot_rows": 3}, {"chain_rounds": 1}, {"chain_rounds": 0}, {"hot_rows": 2, "chain_rounds": 2}]
+LIMITS = [{}, {"hot_rows": 3}, {"hot_rows": 1}]
 
 
 def sequential(rows, stored=()):
@@ -55,13 +55,34 @@ def test_one_text_holds_a_third(spark, hot_rows):
     assert kept_of(insert_new(store, batch, hot_rows=hot_rows)) == sequential(rows, stored)
 
 
-def test_many_long_chains(spark):
-    rows, n = [], 0
-    for k in range(60):
-        rows += [(n, f"i{k}", f"t{k}"), (n + 1, f"i{k}", f"t{k + 1}")]
-        n += 2
-    df = spark.createDataFrame(rows, SCHEMA)
-    assert kept_of(dedup_first_wins(df, chain_rounds=2)) == sequential(rows)
+@pytest.mark.parametrize("seed, n, ids, texts", [(1, 120, 12, 12), (2, 200, 150, 8), (3, 200, 90, 90), (4, 60, 3, 50), (5, 300, 200, 140)])
+def test_branching_collisions(spark, seed, n, ids, texts):
+    rng = random.Random(seed)
+    rows = [(k, f"i{rng.randrange(ids)}", f"t{rng.randrange(texts)}") for k in range(n)]
+    assert kept_of(dedup_first_wins(spark.createDataFrame(rows, SCHEMA))) == sequential(rows)
+
+
+def chains(number, length):
+    """Rows that collide with the one before by id and the one after by text, in turn; numbered along each chain."""
+    return [(c * length + n, f"i{c}-{n // 2}", f"t{c}-{(n + 1) // 2}") for c in range(number) for n in range(length)]
+
+
+@pytest.mark.parametrize("number, length, most", [(500, 100, 8), (1, 20_000, 16)])
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, number, length, most):
+    rows = chains(number, length)
+    trace = []
+    keys = spark.createDataFrame(rows, "seq long, tweet_id string, _k string")
+    kept = surviving_orders(keys, "seq", "tweet_id", "_k", trace=trace)
+    assert kept_of(kept) == [k for k in range(number * length) if k % length % 2 == 0]
+    assert len(trace) <= 3 and sum(passes for _, passes in trace) <= most
+
+
+def test_chain_that_hangs_on_a_branching(spark):
+    """A row with two rivals in each group, and a chain that takes its fate."""
+    head = [(0, "a", "x"), (1, "a", "y"), (2, "b", "z"), (3, "b", "y"), (4, "c", "z"), (5, "c", "y")]
+    tail = [(6 + n, f"d{(n + 1) // 2}" if n else "c", f"u{n // 2}") for n in range(40)]
+    rows = head + tail
+    assert kept_of(dedup_first_wins(spark.createDataFrame(rows, SCHEMA))) == sequential(rows)
 
 
 def test_against_store(spark):
