@@ -9,6 +9,7 @@ from sentispark.functions.sentiment import label_of
 from sentispark.functions.text import CUSTOM_STOPWORDS
 from sentispark.operators import ingest as ing
 from sentispark.operators.dedup import dedup_exact_text, dedup_first_wins
+from sentispark.operators.keyed_table import create, read, upsert
 from sentispark.operators.keystore import KeyStore, add_keys
 from sentispark.plans import inputs as ip
 from sentispark.plans.catalog import query
@@ -123,21 +124,23 @@ SQL_CLEAN_RUN = (f"array_to_string(list_filter({ip.sql_tokens(ip.sql_clean('w.ra
 @query("upsert_clean", f"""WITH {ip.SQL_WIDE} SELECT tweet_id,
   CASE WHEN cleaned_text IS NULL THEN {SQL_CLEAN_RUN} ELSE cleaned_text END AS cleaned_text FROM wide w""")
 def upsert_clean(spark, sf_dir):
-    """The clean queue is worked off and set by key."""
-    table = ip.wide(spark, sf_dir)
-    return ing.upsert_clean(table, run_clean(table, ip.STOPWORDS)).select("tweet_id", "cleaned_text")
+    """The clean queue is worked off and set by key, in a table laid out by key."""
+    table = create(ip.wide(spark, sf_dir).select("tweet_id", "raw_text", "cleaned_text"), scratch_path(spark, "posts"))
+    upsert(table, run_clean(read(spark, table), ip.STOPWORDS), ["cleaned_text"])
+    return read(spark, table).select("tweet_id", "cleaned_text")
 
 
 @query("upsert_label", f"""WITH {ip.SQL_WIDE} SELECT w.tweet_id,
     CASE WHEN w.seq % 2 = 0 THEN w.seq % 9 - 4 ELSE w.sentiment_score END AS sentiment_score,
     CASE WHEN w.seq % 2 = 0 THEN {ip.sql_label('(w.seq % 9 - 4)')} ELSE w.label END AS label FROM wide w""")
 def upsert_label(spark, sf_dir):
-    """Score and label of every second post are set together by key."""
-    table = ip.wide(spark, sf_dir)
+    """Score and label of every second post are set together by key, in a table laid out by key."""
+    table = create(ip.wide(spark, sf_dir).select("tweet_id", "sentiment_score", "label"), scratch_path(spark, "posts"))
     score = F.col("seq") % 9 - 4
     new = (ip.posts(spark, sf_dir).where("seq % 2 = 0")
            .select("tweet_id", score.alias("sentiment_score"), label_of(score).alias("label")))
-    return ing.upsert_label(table, new).select("tweet_id", "sentiment_score", "label")
+    upsert(table, new, ["sentiment_score", "label"])
+    return read(spark, table).select("tweet_id", "sentiment_score", "label")
 
 
 @query("incremental_clean_label", f"""WITH {ip.SQL_CLEANED}, {ip.SQL_LEXICON}, {ip.sql_scores('cleaned')}

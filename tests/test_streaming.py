@@ -50,7 +50,7 @@ def test_ingest_stream_two_keys_and_repeated_batch(spark, tmp_path):
                                    "seq long, tweet_id string, username string, created_at string, raw_text string, "
                                    "keyword string, tweet_url string, reply_to_id string")
         df.coalesce(1).write.mode("append").json(landing)
-        run = inc.ingest_stream(inc.read_post_stream(spark, landing), rows_out, keys_out, progress)
+        run = inc.ingest_stream(inc.read_post_stream(spark, landing), rows_out, keys_out, progress, prefixes=4)
         run.awaitTermination()
     got = inc.stored(spark, rows_out)
     assert sorted(r.seq for r in got.collect()) == sequential(batches)
@@ -60,5 +60,5 @@ def test_ingest_stream_two_keys_and_repeated_batch(spark, tmp_path):
     commits = sorted((tmp_path / "cp" / "commits").glob("[0-9]*"))
     commits[-1].unlink()
     (tmp_path / "cp" / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
-    inc.ingest_stream(inc.read_post_stream(spark, landing), rows_out, keys_out, progress).awaitTermination()
+    inc.ingest_stream(inc.read_post_stream(spark, landing), rows_out, keys_out, progress, prefixes=4).awaitTermination()
     assert sorted(r.seq for r in inc.stored(spark, rows_out).collect()) == sequential(batches)
