@@ -41,7 +41,9 @@ from tokenizers.pre_tokenizers import ByteLevel
 from sentispark.llm.words import _hashes, text_bytes, text_slices
 
 #: Distinct words whose ids a task keeps, at some 40 bytes each; beyond it a task starts anew.
-KNOWN = 1_000_000
+KNOWN = 500_000
+#: Bytes of text taken at a time.
+SLICE = 1 << 20
 #: With fewer words left than this, the rest of each goes byte by byte through plain Python; the results are the same.
 FEW = 24
 NONE = 1 << 30
@@ -56,9 +58,9 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(tokenizer))
+        encoder = Encoder(merges(tokenizer))
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=SLICE):
                 ids, first = encoder.encode(part.column("text"))
                 raw, at = ids.astype("<u4").tobytes(), (4 * first).tolist()
                 packed = pa.array([raw[b:e] for b, e in zip(at, at[1:])], pa.binary())
@@ -88,6 +90,12 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=1)
+def merges(path: str) -> Merges:
+    """The same; 100 MB or so for 50,000 tokens, so a worker that only decodes does without."""
+    return Merges(path)
+
+
 def byte_alphabet() -> dict[str, int]:
     """The character that stands for each byte in the file: its own where it prints, else one from U+0100 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -98,11 +106,11 @@ def byte_alphabet() -> dict[str, int]:
 def character_classes() -> np.ndarray:
     """Class of each code point; the library is asked about those that are newer than Python's tables."""
     kinds = {"L": LETTER, "N": NUMBER}
-    names = [unicodedata.category(chr(c)) for c in range(0x110000)]
-    out = np.fromiter((kinds.get(x[0], OTHER) for x in names), np.uint8, 0x110000)
+    out = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
     out[[*range(9, 14), 32, *SPACES]] = SPACE
     library = ByteLevel(add_prefix_space=False)
-    for c in regex.findall(r"[\p{L}\p{N}]", "".join(chr(c) for c, x in enumerate(names) if x == "Cn")):
+    newer = (c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")
+    for c in regex.findall(r"[\p{L}\p{N}]", "".join(newer)):
         for beside, kind in (("a", LETTER), ("1", NUMBER)):
             if len(library.pre_tokenize_str(beside + c)) == 1:
                 out[ord(c)] = kind
@@ -110,11 +118,13 @@ def character_classes() -> np.ndarray:
 
 
 class Vocabulary:
-    """Merges of a byte-level BPE file as arrays by token id, and the suffix automaton of its tokens."""
+    """Bytes of the tokens of a byte-level BPE file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+            self._load(json.load(f))
+
+    def _load(self, spec: dict) -> dict[int, bytes]:
         model, self.special = spec["model"], {}
         if model["type"] != "BPE" or (spec["pre_tokenizer"] or {}).get("type") != "ByteLevel" or spec["normalizer"]:
             raise ValueError("not a byte-level BPE without normalizer")
@@ -125,14 +135,33 @@ class Vocabulary:
         alphabet = byte_alphabet()
         raw = {i: bytes(alphabet[c] for c in t) for t, i in model["vocab"].items()}
         self.size = max([*raw, *self.special.values()]) + 1
-        self._merges(model, raw)
-        self._automaton({i: raw[i] for i in np.flatnonzero(self._reachable()).tolist()})
-        raw |= {i: t for t, i in self.special.items()}
-        parts = [raw.get(i, b"") for i in range(self.size)]
+        both = raw | {i: t for t, i in self.special.items()}
+        parts = [both.get(i, b"") for i in range(self.size)]
         self.bytes = np.frombuffer(b"".join(parts), np.uint8)
         self.at = np.array([0, *accumulate(map(len, parts))], np.int64)
         self.length = np.diff(self.at)
+        return raw
+
+    def text(self, ids: np.ndarray) -> str:
+        return self.raw(ids[ids < self.size].astype(np.int64)).tobytes().decode("utf-8", "replace")
+
+    def raw(self, ids: np.ndarray) -> np.ndarray:
+        """Bytes of all tokens, one after another."""
+        size = self.length[ids]
+        stop = np.cumsum(size)
+        total = int(stop[-1]) if len(stop) else 0
+        return self.bytes[np.repeat(self.at[ids] - stop + size, size) + np.arange(total)]
+
+
+class Merges(Vocabulary):
+    """With its merges as arrays by token id, and the suffix automaton of the tokens."""
+
+    def _load(self, spec: dict) -> dict[int, bytes]:
+        raw = super()._load(spec)
+        self._merges(spec["model"], raw)
+        self._automaton({i: raw[i] for i in np.flatnonzero(self._reachable()).tolist()})
         self.classes = character_classes()
+        return raw
 
     def _merges(self, model: dict, raw: dict[int, bytes]) -> None:
         ids = model["vocab"]
@@ -226,16 +255,6 @@ class Vocabulary:
             step[parent[below], byte[below]] = below
         self.step, self.longest, self.shorter = step, longest, shorter
 
-    def text(self, ids: np.ndarray) -> str:
-        return self.raw(ids[ids < self.size].astype(np.int64)).tobytes().decode("utf-8", "replace")
-
-    def raw(self, ids: np.ndarray) -> np.ndarray:
-        """Bytes of all tokens, one after another."""
-        size = self.length[ids]
-        stop = np.cumsum(size)
-        total = int(stop[-1]) if len(stop) else 0
-        return self.bytes[np.repeat(self.at[ids] - stop + size, size) + np.arange(total)]
-
     def words_to_ids(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of ``data``, and how many each has."""
         order = np.argsort(-size, kind="stable")
@@ -292,7 +311,7 @@ class Vocabulary:
 class Encoder:
     """Ids of texts; remembers the words of its task."""
 
-    def __init__(self, known: Vocabulary):
+    def __init__(self, known: Merges):
         self.vocabulary = known
         self.special = re.compile(b"|".join(re.escape(t) for t in sorted(known.special, key=len, reverse=True)) or b"(?!)")
         self._forget()

@@ -25,7 +25,7 @@ def library():
 
 
 def ids_of(texts):
-    ids, first = byte_bpe.Encoder(byte_bpe.vocabulary(PATH)).encode(pa.array(texts, pa.string()))
+    ids, first = byte_bpe.Encoder(byte_bpe.merges(PATH)).encode(pa.array(texts, pa.string()))
     return [ids[a:b].tolist() for a, b in zip(first, first[1:])]
 
 
@@ -55,7 +55,7 @@ def test_classes_of_characters(library):
     points = points[::37] + [c for c in points if unicodedata.category(chr(c)) == "Cn" and c < 0x20000][::11]
     texts = ["a" + c + "1" + c + "!" + c + " " + c + c + "b " for c in map(chr, points)]
     data, ends = byte_bpe.text_bytes(pa.array(texts))
-    start, _ = byte_bpe.Encoder(byte_bpe.vocabulary(PATH)).words(data, ends)
+    start, _ = byte_bpe.Encoder(byte_bpe.merges(PATH)).words(data, ends)
     raw, stop, first = data.tobytes(), np.append(start[1:], len(data)), np.searchsorted(start, ends)
     for i, text in enumerate(texts):
         want = [text[x:y] for _, (x, y) in library.pre_tokenizer.pre_tokenize_str(text)]
@@ -94,7 +94,7 @@ def test_against_merges_one_by_one(tmp_path):
                 tokens.append(a + b)
                 merges.append([a, b])
         path, ids = small_file(tmp_path, merges)
-        known = byte_bpe.Vocabulary(path)
+        known = byte_bpe.Merges(path)
         words = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 30))) for _ in range(200)]
         for some in (words, words[:5]):  # as arrays, and word by word
             raw = np.frombuffer("".join(some).encode(), np.uint8)
@@ -107,7 +107,7 @@ def test_against_merges_one_by_one(tmp_path):
 def test_token_that_no_text_reaches(tmp_path):
     merges = [["b", "c"], ["a", "b"], ["ab", "c"]]  # abc becomes a bc
     path, ids = small_file(tmp_path, merges)
-    known = byte_bpe.Vocabulary(path)
+    known = byte_bpe.Merges(path)
     assert not known._reachable()[ids["abc"]]
     flat, _ = known.words_to_ids(np.frombuffer(b"abc", np.uint8), np.array([0]), np.array([3]))
     assert flat.tolist() == [ids["a"], ids["bc"]]
@@ -121,7 +121,7 @@ def test_files_it_does_not_know(tmp_path):
         data["model"]["merges"], data["added_tokens"] = merges, list(extra)
         open(spec, "w").write(json.dumps(data))
         with pytest.raises(ValueError):
-            byte_bpe.Vocabulary(spec)
+            byte_bpe.Merges(spec)
 
 
 def test_clash_of_hashes_is_seen(library, monkeypatch):
@@ -132,7 +132,7 @@ def test_clash_of_hashes_is_seen(library, monkeypatch):
 
 def test_words_are_forgotten_beyond_the_bound(library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "KNOWN", 3)
-    encoder = byte_bpe.Encoder(byte_bpe.vocabulary(PATH))
+    encoder = byte_bpe.Encoder(byte_bpe.merges(PATH))
     for text in ("a b c d", "d e f", "a b c d"):
         ids, _ = encoder.encode(pa.array([text]))
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
