@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from sentispark.operators.dedup import store_keys
 
 #: Choose it so that a prefix holds some 100 MB of keys in the end.
-PREFIXES = 256
+PREFIXES = 64
 #: Bytes of keys of a batch that are broadcast at most.
 BROADCAST_BYTES = 32 << 20
 IDS, TEXTS = "ids", "texts"

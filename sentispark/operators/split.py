@@ -34,34 +34,34 @@ def split_key(id_col: str, seed: int = SEED):
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
 
 
-def _cut_points(keyed: DataFrame, quotas: dict[str, int]) -> dict[str, str]:
-    """Per class the hash of its last training row.
+def cut_points(keyed: DataFrame, ranks: dict[tuple[str, int], int]) -> dict[tuple[str, int], str]:
+    """For each (class, number) the hash of the row of that class with the given rank, "" for rank 0.
 
-    Each pass counts rows by the next hex digits below the prefix known so far
-    and steps into the digit group that holds the last training row: no sort, no
-    window, and the driver sees at most 4096 counts per class and pass.
+    ``keyed`` has ``label`` and ``_key``. Each pass counts rows by the next hex digits below the prefixes known so far
+    and steps into the digit group that holds the wanted row: no sort, no
+    window, and the driver sees at most 4096 counts per open cut and pass.
     """
-    found = {c: "" for c, q in quotas.items() if q == 0}
-    state = {c: ("", q) for c, q in quotas.items() if q > 0}
+    found = {c: "" for c, q in ranks.items() if q == 0}
+    state = {c: ("", q) for c, q in ranks.items() if q > 0}
     depth = 0
     while state:
         if depth >= HASH_DIGITS:
             raise ValueError("row ids must be unique for an exact split")
         width = min(DIGITS, HASH_DIGITS - depth)
         inside = F.lit(False)
-        for c, (prefix, _) in state.items():
+        for c, prefix in {(c[0], prefix) for c, (prefix, _) in state.items()}:
             inside = inside | ((F.col("label") == c) & F.col("_key").startswith(prefix))
-        counts: dict[str, dict[str, int]] = {c: {} for c in state}
+        counts: dict[str, dict[str, tuple[int, str]]] = {c[0]: {} for c in state}
         for r in (keyed.where(inside)
-                  .groupBy("label", F.substring("_key", depth + 1, width).alias("part"))
+                  .groupBy("label", F.substring("_key", 1, depth + width).alias("part"))
                   .agg(F.count("*").alias("n"), F.max("_key").alias("last")).collect()):
             counts[r["label"]][r["part"]] = (r["n"], r["last"])
         following = {}
         for c, (prefix, need) in state.items():
-            for part in sorted(counts[c]):
-                n, last = counts[c][part]
+            for part in sorted(p for p in counts[c[0]] if p.startswith(prefix)):
+                n, last = counts[c[0]][part]
                 if need < n:
-                    following[c] = (prefix + part, need)
+                    following[c] = (part, need)
                     break
                 need -= n
                 if need == 0:
@@ -72,6 +72,18 @@ def _cut_points(keyed: DataFrame, quotas: dict[str, int]) -> dict[str, str]:
     return found
 
 
+def in_class_parts(df: DataFrame, parts: int, label: str, id_col: str, seed: int = SEED) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` with ``_part``, which deals each class into ``parts`` parts whose sizes differ by one at most; the class sizes."""
+    counts = {r[label]: r["n"] for r in class_counts(df, label).collect()}
+    keyed = df.select(F.col(label).alias("label"), split_key(id_col, seed).alias("_key"))
+    cuts = cut_points(keyed, {(c, k): n * k // parts for c, n in counts.items() for k in range(1, parts)})
+    key, part = split_key(id_col, seed), F.lit(None).cast("int")
+    for c in counts:
+        behind = sum(((key > F.lit(cuts[c, k])).cast("int") for k in range(1, parts)), F.lit(0))
+        part = F.when(F.col(label) == F.lit(c), behind).otherwise(part)
+    return df.withColumn("_part", part), counts
+
+
 def stratified_split(df: DataFrame, label: str = "label", id_col: str = "tweet_id",
                      test_size: float = TEST_SIZE, seed: int = SEED) -> DataFrame:
     """``df`` with ``is_train``: exact class sizes, rows of a class in seeded hash order.
@@ -86,7 +98,7 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "tweet_i
         raise ValueError("every class needs at least two rows")
     quotas = train_quotas(counts, test_size)
     keyed = df.select(F.col(label).alias("label"), split_key(id_col, seed).alias("_key"))
-    cuts = _cut_points(keyed, quotas)
+    cuts = {c: cut for (c, _), cut in cut_points(keyed, {(c, 0): n for c, n in quotas.items()}).items()}
     in_train = F.lit(False)
     key = split_key(id_col, seed)
     for c, cut in cuts.items():

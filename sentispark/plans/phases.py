@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVCModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +16,8 @@ from sentispark.operators.features import MAX_FEATURES, Tfidf, fit_tfidf, tfidf
 from sentispark.operators.lexicon_score import lexicon_label
 from sentispark.operators.lookup import replace_words
 from sentispark.operators.queues import clean_queue, label_queue, training_set
-from sentispark.operators.split import SEED, TEST_SIZE, class_counts, stratified_split
+from sentispark.operators.split import SEED, TEST_SIZE, stratified_split
+from sentispark.session import cut_lineage
 
 MIN_ROWS = 10
 
@@ -63,7 +63,7 @@ def run_label(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
 class Training(NamedTuple):
     vocab: Tfidf
     nb: bayes.NaiveBayes
-    svm: LinearSVCModel
+    svm: svm.Linear
     platt: svm.Platt
     train_size: int
     test_size: int
@@ -90,14 +90,15 @@ def long_scores(predicted: DataFrame, id_col: str = "tweet_id") -> DataFrame:
 
 
 def run_train(posts: DataFrame, test_size: float = TEST_SIZE, max_features: int = MAX_FEATURES,
-              seed: int = SEED) -> Training | None:
+              seed: int = SEED, given: Callable[[Tfidf], tuple[svm.Linear, svm.Platt]] | None = None) -> Training | None:
     """Fit and compare both models on the labelled posts; None below ten rows.
 
-    Vectors of both parts are kept across the passes of the solver; what
-    reaches the driver is the vocabulary, two weight vectors and counts.
+    The training rows are written once and all passes read them; vectors of both parts are kept across the passes of the
+    solver; what reaches the driver is the vocabulary, two weight vectors and counts. ``given`` makes the second model from the
+    vocabulary, for a model fitted elsewhere.
     """
-    data = training_set(posts)
-    sizes = class_counts(data).agg(F.sum("n")).first()[0] or 0
+    data = cut_lineage(training_set(posts))
+    sizes = data.count()
     if sizes < MIN_ROWS:
         return None
     split = stratified_split(data, test_size=test_size, seed=seed)
@@ -107,8 +108,11 @@ def run_train(posts: DataFrame, test_size: float = TEST_SIZE, max_features: int
     keep = ["tweet_id", "y", "features"]
     train = tfidf(train_text, vocab).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     nb_model = bayes.nb_fit(train)
-    svm_model = svm.svm_fit(train)
-    platt = svm.platt_fit(svm.held_out_margins(train))
+    if given is None:
+        svm_model = svm.svm_fit(train)
+        platt = svm.platt_fit(svm.held_out_margins(train))
+    else:
+        svm_model, platt = given(vocab)
     test = tfidf(labelled.where(~F.col("is_train")), vocab).select(*keep)
     predicted = svm.svm_proba(both_models(test, (vocab, nb_model, svm_model)), platt)
     scored = long_scores(predicted).persist(StorageLevel.MEMORY_AND_DISK)

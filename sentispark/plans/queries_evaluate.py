@@ -9,16 +9,28 @@ from sentispark.plans import inputs as ip
 from sentispark.plans.catalog import query
 from sentispark.plans.results import export_metrics
 
-SQL_CELLS = f"""{ip.SQL_SCORED}, cells AS (SELECT model, count(*) FILTER (y = 0 AND pred = 0) AS tn,
+
+
+def sql_cells() -> str:
+    """CTE of the confusion cells of ``scored``."""
+    return """cells AS (SELECT model, count(*) FILTER (y = 0 AND pred = 0) AS tn,
     count(*) FILTER (y = 0 AND pred = 1) AS fp, count(*) FILTER (y = 1 AND pred = 0) AS fn,
     count(*) FILTER (y = 1 AND pred = 1) AS tp FROM scored GROUP BY model)"""
-SQL_METRICS = f"""{SQL_CELLS}, metrics AS (SELECT *, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
+
+
+def sql_metrics() -> str:
+    """CTEs of all metrics of ``scored``."""
+    return f"""{sql_cells()}, metrics AS (SELECT *, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
     CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS "precision",
     CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall,
     CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1 FROM cells),
   auc AS (SELECT p.model, sum(CASE WHEN p.score > q.score THEN 1.0 WHEN p.score = q.score THEN 0.5 ELSE 0 END)
       / count(*) AS auc FROM scored p JOIN scored q ON p.model = q.model AND p.y = 1 AND q.y = 0 GROUP BY p.model),
   compared AS (SELECT m.*, CAST(auc AS DOUBLE) AS auc FROM metrics m JOIN auc USING (model))"""
+
+
+SQL_CELLS = f"{ip.SQL_SCORED}, {sql_cells()}"
+SQL_METRICS = f"{ip.SQL_SCORED}, {sql_metrics()}"
 C = f"WITH {SQL_METRICS} "
 FIVE = ("accuracy", "precision", "recall", "f1", "auc")
 
@@ -67,7 +79,7 @@ def correct(spark, sf_dir):
     return ev.correct_summary(ip.scored(spark, sf_dir))
 
 
-def _sql_wins(metrics) -> str:
+def sql_wins(metrics) -> str:
     def wins(a: str, b: str) -> str:
         return " + ".join(f'CAST({a}."{m}" > {b}."{m}" AS BIGINT)' for m in metrics)
     return f"""SELECT first_wins, second_wins, CASE WHEN first_wins > second_wins THEN 'nb'
@@ -77,12 +89,12 @@ def _sql_wins(metrics) -> str:
     FROM compared a, compared b WHERE a.model = 'nb' AND b.model = 'svm')"""
 
 
-@query("metric_winner", C + _sql_wins(FIVE))
+@query("metric_winner", C + sql_wins(FIVE))
 def winner(spark, sf_dir):
     return ev.metric_winner(ev.model_comparison(ip.scored(spark, sf_dir)))
 
 
-@query("metric_winner_report", C + _sql_wins(FIVE[:4]))
+@query("metric_winner_report", C + sql_wins(FIVE[:4]))
 def winner_report(spark, sf_dir):
     return ev.metric_winner(ev.model_comparison(ip.scored(spark, sf_dir)), metrics=ev.REPORT_METRICS)
 

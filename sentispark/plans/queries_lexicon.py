@@ -10,50 +10,73 @@ from sentispark.operators.lexicon_score import contributions, lexicon_label, lex
 from sentispark.plans import inputs as ip
 from sentispark.plans.catalog import query
 from sentispark.plans.phases import run_label
-from sentispark.sources.lexicon import parse_lexicon, union_lexica
+from sentispark.session import scratch_path
+from sentispark.sources.lexicon import load_lexicon, union_lexica
 from sentispark.sources.posts import read_table
 
-FIRST = r"^\s*(\S+)"
+WORDS = r"([^\x20\x09-\x0D]+)"
+
+
+def _lines(rows, number, weight):
+    """Every word of every text as a line ``line, word, weight``, in the order of the texts and of the words in them."""
+    words = rows.select(number.alias("row"), "n", F.posexplode_outer(F.regexp_extract_all("text", F.lit(WORDS))).alias("at", "w"))
+    words = words.where("w IS NOT NULL")
+    return words.select((F.shiftleft("row", 24) + F.col("at")).alias("line"),
+                        F.concat(F.lit("  "), "w", F.lit(" ")).alias("word"), weight.alias("weight"))
 
 
 def _document_lines(spark, sf_dir):
-    """Lexicon lines made of the documents: first word with blanks, weights with bad ones among them."""
-    d = F.col("doc_id")
-    word = F.concat(F.lit("  "), F.regexp_extract("text", FIRST, 1), F.lit(" "))
-    weight = (F.when(d % 7 == 0, F.lit("3.0")).when(d % 7 == 1, F.lit("weight"))
-              .otherwise(F.concat(F.lit(" "), (F.col("n_chars") % 11 - 5).cast("string"), F.lit(" "))))
-    return (read_table(spark, sf_dir, "documents")
-            .select(d.alias("line"), word.alias("word"), weight.alias("weight")))
+    """Lexicon lines made of the documents, with words in blanks and weights that cannot be read among them."""
+    k = F.col("row") + F.col("at")
+    weight = (F.when(k % 7 == 0, F.lit("3.0")).when(k % 7 == 1, F.lit("weight"))
+              .otherwise(F.concat(F.lit(" "), ((F.col("n") + F.col("at")) % 11 - 5).cast("string"), F.lit(" "))))
+    return _lines(read_table(spark, sf_dir, "documents").withColumn("n", F.col("n_chars")), F.col("doc_id"), weight)
 
 
 def _turn_lines(spark, sf_dir):
-    c, t = F.col("conv_id"), F.col("turn")
-    return (read_table(spark, sf_dir, "conversations")
-            .select((F.shiftleft(c, 32) + t).alias("line"), F.regexp_extract("text", FIRST, 1).alias("word"),
-                    (-1 - (c + t) % 5).cast("string").alias("weight")))
-
-
-SQL_DOC_LEXICON = r"""dlines AS (SELECT doc_id AS line, '  ' || regexp_extract(text, '^\s*(\S+)', 1) || ' ' AS word,
-    CASE doc_id % 7 WHEN 0 THEN '3.0' WHEN 1 THEN 'weight' ELSE ' ' || (n_chars % 11 - 5) || ' ' END AS weight
-    FROM documents),
-  dlex AS (SELECT word, arg_max(weight, line) AS weight FROM (
-    SELECT line, lower(regexp_replace(word, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS word,
-      CAST(trim(weight) AS INT) AS weight FROM dlines WHERE regexp_full_match(trim(weight), '[+-]?[0-9]+'))
+    weight = (-1 - (F.col("row") + F.col("at")) % 5).cast("string")
+    turns = read_table(spark, sf_dir, "conversations").withColumn("n", F.col("turn"))
+    return _lines(turns, F.shiftleft("conv_id", 12) + F.col("turn"), weight)
+
+
+def _as_files(lines, name):
+    """The lines as tab-separated files whose names follow their order, in the shared folder."""
+    path = scratch_path(lines.sparkSession, name)
+    (lines.orderBy("line").select("word", "weight").write.option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path, sep="\t"))
+    return path
+
+
+def _lexica(spark, sf_dir):
+    return (load_lexicon(spark, _as_files(_document_lines(spark, sf_dir), "positive")),
+            load_lexicon(spark, _as_files(_turn_lines(spark, sf_dir), "negative")))
+
+
+def _sql_lines(name, table, row, weight):
+    return rf"""{name}words AS (SELECT row, n, unnest(ws) AS w, unnest(range(len(ws))) AS k FROM (
+    SELECT {row} AS row, {table[1]} AS n, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM {table[0]})),
+  {name}lines AS (SELECT row * 16777216 + k AS line, '  ' || w || ' ' AS word, {weight} AS weight FROM {name}words),
+  {name}lex AS (SELECT word, arg_max(weight, line) AS weight FROM (
+    SELECT line, lower(regexp_replace(word, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')) AS word,
+      CAST(trim(weight) AS INT) AS weight FROM {name}lines WHERE regexp_full_match(trim(weight), '[+-]?[0-9]+'))
     GROUP BY word)"""
-SQL_TURN_LEXICON = r"""tlex AS (SELECT word, arg_max(weight, line) AS weight FROM (
-    SELECT conv_id * 4294967296 + turn AS line, lower(regexp_extract(text, '^\s*(\S+)', 1)) AS word,
-      CAST(-1 - (conv_id + turn) % 5 AS INT) AS weight FROM conversations) GROUP BY word)"""
+
+
+SQL_DOC_LEXICON = _sql_lines("d", ("documents", "n_chars"), "doc_id", """CASE (row + k) % 7 WHEN 0 THEN '3.0'
+    WHEN 1 THEN 'weight' ELSE ' ' || ((n + k) % 11 - 5) || ' ' END""")
+SQL_TURN_LEXICON = _sql_lines("t", ("conversations", "turn"), "(conv_id * 4096 + turn)", "CAST(-1 - (row + k) % 5 AS VARCHAR)")
 
 
 @query("lexicon_load", f"WITH {SQL_DOC_LEXICON} SELECT word, weight FROM dlex")
 def lexicon_load(spark, sf_dir):
-    return parse_lexicon(_document_lines(spark, sf_dir))
+    """Files of all words of the documents, read as a lexicon."""
+    return _lexica(spark, sf_dir)[0]
 
 
 @query("lexicon_union", f"""WITH {SQL_DOC_LEXICON}, {SQL_TURN_LEXICON}
   SELECT 'positive' AS polarity, word, weight FROM dlex UNION ALL SELECT 'negative', word, weight FROM tlex""")
 def lexicon_union(spark, sf_dir):
-    return union_lexica(parse_lexicon(_document_lines(spark, sf_dir)), parse_lexicon(_turn_lines(spark, sf_dir)))
+    return union_lexica(*_lexica(spark, sf_dir))
 
 
 @query("lexicon_overlap", f"""WITH {SQL_DOC_LEXICON}, {SQL_TURN_LEXICON}
@@ -61,7 +84,7 @@ def lexicon_union(spark, sf_dir):
     count(*) FILTER (d.word IS NOT NULL AND t.word IS NOT NULL) AS shared_words
   FROM dlex d FULL JOIN tlex t ON d.word = t.word""")
 def overlap(spark, sf_dir):
-    return lexicon_overlap(parse_lexicon(_document_lines(spark, sf_dir)), parse_lexicon(_turn_lines(spark, sf_dir)))
+    return lexicon_overlap(*_lexica(spark, sf_dir))
 
 
 SQL_SCORED_DOCS = f"WITH {ip.SQL_CLEANED}, {ip.SQL_LEXICON}, {ip.sql_scores('cleaned')}"

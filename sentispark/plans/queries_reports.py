@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from sentispark.functions.sentiment import parse_created_at
 from sentispark.operators import queues, reports
+from sentispark.operators.ingest import valid_posts
 from sentispark.plans import inputs as ip
 from sentispark.plans.catalog import query
+from sentispark.session import scratch_path
+from sentispark.sources.posts import scan_posts as scan
 
 W = f"WITH {ip.SQL_WIDE} "
 COLUMNS = ("seq", "tweet_id", "username", "created_at", "raw_text", "keyword", "tweet_url", "reply_to_id")
@@ -23,7 +26,15 @@ def _wide_query(name: str, sql: str, run) -> None:
 @query("scan_posts", f"""WITH {ip.SQL_POSTS}, {ip.SQL_TURNS} SELECT {', '.join(COLUMNS)} FROM posts
   UNION ALL SELECT {', '.join(COLUMNS)} FROM turns""")
 def scan_posts(spark, sf_dir):
-    return ip.posts(spark, sf_dir).unionByName(ip.turns(spark, sf_dir)).select(*COLUMNS)
+    """Landed JSON lines, read with the declared schema: optional fields that are null are missing from a line, and for every
+    fiftieth post a line that breaks off and one without its author stand beside it."""
+    rows = ip.posts(spark, sf_dir).unionByName(ip.turns(spark, sf_dir))
+    whole, some = F.to_json(F.struct(*rows.columns)), F.col("seq") % 50 == 7
+    broken = F.when(some, F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int")))
+    nameless = F.when(some, F.to_json(F.struct(*[c for c in rows.columns if c != "username"])))
+    path = scratch_path(spark, "landed")
+    rows.select(F.explode_outer(F.array(whole, broken, nameless)).alias("value")).where("value IS NOT NULL").write.text(path)
+    return valid_posts(scan(spark, path, "json", mode="DROPMALFORMED")).select(*COLUMNS)
 
 
 @query("full_scan", W + "SELECT *, CAST(length(raw_text) AS BIGINT) AS n FROM wide")

@@ -1,10 +1,14 @@
 """The whole training phase on a separable corpus, and its exports."""
 
 import json
+import math
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors
 
+from sentispark.operators import svm
+from sentispark.operators.split import in_class_parts
 from sentispark.plans.phases import run_train, score_corpus
 from sentispark.plans.results import evaluation_report, export_metrics, results_document
 from sentispark.sources.sinks import write_csv, write_json
@@ -72,3 +76,51 @@ def test_report_rows(posts, fitted):
 def test_too_little_data(spark):
     rows = [(str(i), "kata ini", "positive" if i % 2 else "negative") for i in range(9)]
     assert run_train(spark.createDataFrame(rows, "tweet_id string, cleaned_text string, label string")) is None
+
+
+@pytest.mark.parametrize("positive, negative", [(9, 2), (2, 9), (5, 5), (30, 3)])
+def test_training_on_uneven_classes(spark, positive, negative):
+    rows = [(f"p{i}", f"bagus sekali nomor {'abcdefghij'[i % 10]}x", "positive") for i in range(positive)]
+    rows += [(f"n{i}", f"buruk sekali nomor {'abcdefghij'[i % 10]}x", "negative") for i in range(negative)]
+    fitted = run_train(spark.createDataFrame(rows, "tweet_id string, cleaned_text string, label string"))
+    n = positive + negative
+    assert fitted.train_size + fitted.test_size == n and fitted.test_size == -(-n // 5)
+    assert all(0 <= r.score <= 1 for r in fitted.scored.collect())
+    assert {r.model for r in fitted.comparison.collect()} == {"nb", "svm"}
+    fitted.release()
+
+
+def test_folds_deal_every_class_evenly(spark):
+    rows = [(str(i), "a" if i % 10 else "b") for i in range(303)]
+    dealt, sizes = in_class_parts(spark.createDataFrame(rows, "id string, y string"), 5, "y", "id")
+    assert sizes == {"a": 272, "b": 31}
+    got = {(r.y, r._part): r["count"] for r in dealt.groupBy("y", "_part").count().collect()}
+    assert sorted(n for (y, _), n in got.items() if y == "a") == [54, 54, 54, 55, 55]
+    assert sorted(n for (y, _), n in got.items() if y == "b") == [6, 6, 6, 6, 7]
+
+
+def test_margins_without_a_second_class(spark):
+    """The one negative row is in one fold; the other folds' model has both classes, its own only the positive one."""
+    vectors = [(str(i), 1, Vectors.sparse(2, [0], [1.0])) for i in range(9)] + [("x", 0, Vectors.sparse(2, [1], [1.0]))]
+    got = svm.held_out_margins(spark.createDataFrame(vectors, ["tweet_id", "y", "features"])).collect()
+    assert len(got) == 10 and [r.svm_margin for r in got if r.tweet_id == "x"] == [1.0]
+
+
+@pytest.mark.parametrize("rows", [
+    [(m / 10, int(m > 3 or m % 7 == 0)) for m in range(-30, 40)], [(1.0, 1)] * 9 + [(1.0, 0)] * 2, [(50.0, 1), (-50.0, 0)],
+    [(float(m * 1000), int(m > 0)) for m in range(-5, 6)], [(2.0, 1)] * 3])
+def test_sigmoid_is_at_its_optimum(spark, rows):
+    """No step to either side of both parameters lowers the loss."""
+    df = spark.createDataFrame(rows, "svm_margin double, y int")
+    fitted = svm.platt_fit(df)
+    p = sum(y for _, y in rows)
+    q = len(rows) - p
+    target = [(p + 1) / (p + 2) if y else 1 / (q + 2) for _, y in rows]
+
+    def loss(a, b):
+        z = [a * m + b for m, _ in rows]
+        return sum(max(v, 0) - t * v + math.log1p(math.exp(-abs(v))) for v, t in zip(z, target))
+
+    best = loss(*fitted)
+    for da, db in ((1e-3, 0), (-1e-3, 0), (0, 1e-3), (0, -1e-3), (1e-3, 1e-3), (-1e-3, -1e-3)):
+        assert loss(fitted.slope + da, fitted.offset + db) >= best - 1e-6
