@@ -8,7 +8,10 @@ graph has a node for each block and at most two edges for each.
 
 Rules of the text: character references are decoded, white space within a block is one space, ``<br>`` and table cells
 are white space, blocks are joined by two line feeds. Scripts, styles, hidden elements, comments and fields of forms are no
-text. Elements left open end where an ancestor ends.
+text. Elements left open end where an ancestor ends. A skipped element that its tag closes is empty, and one without an end
+tag hides nothing, but for script, style, title and textarea, which run to the end of the page. A tag whose quotes do not pair
+ends at its first ``>``. An article or main element inside one that only a class name or a form marks as boilerplate is
+content again.
 
 Defined results: null and empty pages and pages without content give an empty text; repeated rows are pages of their own;
 an empty table gives an empty result; other columns pass through, but for columns named like the two new ones, which
@@ -28,11 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)|(\bhidden\b)")
+#: A tag with its quotes in pairs and not very long, else up to its first ``>``; nothing is tried twice.
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}'){0,2000}+|[^>]*)>", re.S)
+_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)|((?<![\w-])hidden(?![\w-]))")
+_UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
 _TOKEN = re.compile(r"[a-z]+")
-#: Elements whose content is no text of the page, up to their end tag.
+#: Class names that say what an element has, or has not, and not what it is.
+_LAYOUT = re.compile(r"(?<![\w-])(?:has|no|with|without|not|is|js)[-_][\w-]*")
+#: Elements whose content is no text of the page, up to their end tag; of those in the second set, to the end of the page if it is missing.
 SKIPPED = frozenset("script style noscript template svg iframe object canvas title select textarea button".split())
+TO_THE_END = frozenset("script style title textarea".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr
 ul caption""".split())
@@ -70,23 +78,35 @@ class _Open(NamedTuple):
     against: bool
     favoured: bool
     hidden: bool
+    pardoned: bool = False  # what speaks against it is a class name or a form, which an article inside takes back
 
 
 def _opened(tag: str, attributes: str, number: int, parent: _Open) -> _Open:
     against, favoured, hidden = tag in AGAINST_TAGS or (tag == "header" and not parent.favoured), tag in FOR_TAGS, parent.hidden
+    by_class = tag in ("form", "fieldset")
+    strict = against and not by_class
     if attributes.strip(" /\n\t\r"):
         for name, value, bare in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if bare or name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
                 hidden = True
             elif name == "role":
+                strict |= value in AGAINST_ROLES and value != "form"
                 against |= value in AGAINST_ROLES
                 favoured |= value in FOR_TAGS
             elif name in ("class", "id") and tag not in ("html", "body"):
-                found = _TOKEN.findall(value)
-                against |= not AGAINST_WORDS.isdisjoint(found) and not (tag in FOR_TAGS and "comment" not in found and "comments" not in found)
+                found = set(_TOKEN.findall(_LAYOUT.sub(" ", value)))
+                comments = "comment" in found or "comments" in found
+                if tag == "header" and parent.favoured:
+                    found.discard("header")
+                against |= not AGAINST_WORDS.isdisjoint(found) and (tag not in FOR_TAGS or comments)
+                strict |= comments
                 favoured |= not FOR_WORDS.isdisjoint(found)
-    return _Open(tag, number, parent.against or against, (parent.favoured or favoured) and not against, hidden)
+    if tag in FOR_TAGS and parent.against and parent.pardoned and not against:
+        return _Open(tag, number, False, True, hidden)
+    marked = parent.against or against
+    return _Open(tag, number, marked, (parent.favoured or favoured) and not against, hidden,
+                 marked and not strict and (parent.pardoned or not parent.against))
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -95,6 +115,7 @@ def blocks_of(page: str) -> list[Block]:
     stack = [_Open("", 0, False, False, False)]
     parts: list[str] = []
     linked, in_link, number, at = 0, False, 0, 0
+    unclosed: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -106,9 +127,10 @@ def blocks_of(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
+    last = page.rfind(">") + 1  # no tag ends behind it
     while True:
-        m = _TAG.search(page, at)
-        text = page[at:m.start() if m else len(page)]
+        m = _TAG.search(page, at, last) if at < last else None
+        text = page[at:m.start()] if m else _UNFINISHED.split(page[at:], maxsplit=1)[0]
         if text:
             parts.append(text)
             linked += in_link and len(text.strip())
@@ -119,8 +141,13 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if tag in SKIPPED and not closes:
-            end = re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = None if tag in unclosed or m[3].endswith("/") else re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif tag in TO_THE_END and not m[3].endswith("/"):
+                at = len(page)
+            elif not m[3].endswith("/"):
+                unclosed.add(tag)  # no end tag follows any more: what comes is text
             parts.append(" ")
         elif tag == "a":
             in_link = not closes

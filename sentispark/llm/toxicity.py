@@ -11,8 +11,9 @@ multiple-instance training: a document's label is the label of its most toxic wi
 document is clean. A fifth of the sample is left out and sets the logistic that turns a worst window into a score. Only ids with labels are gathered, and windows are cut on the executors; at most ``TRAINING`` windows of
 the two labels train the network.
 
-Defined results: null and empty texts score as a window without words; without labels of both kinds every score is the
-share of label 1; repeated rows are scored alike; other columns pass through, but for one named like the new one, which
+Defined results: null and empty texts score as a window without words; texts of any length are scored whole; without labels
+of both kinds every score is the share of label 1, 0 without any; an id with both labels is toxic; repeated rows are scored alike;
+an empty table gives an empty result; other columns pass through, but for one named like the new one, which
 gives way.
 """
 
@@ -24,15 +25,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentispark.llm.words import mix, text_slices, words
 
 WINDOW, STRIDE = 24, 12
-SAMPLE, TRAINING = 500, 40_000
+SAMPLE, PIECES = 500, 120
 GRAMS, HELD_BY, HELD_LEAST, WIDTH, HIDDEN = (5,), 0.03, 4, 12, 8
 EPOCHS, STEPS, BATCH, RATE, DECAY = 4, 400, 512, 0.02, 0.01
 #: Distinct words whose gate inputs a worker keeps, and windows scored at a time.
@@ -247,15 +247,22 @@ class Model(NamedTuple):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """``labels``: ``id, label`` of the rows to learn from."""
     known = labels.where("label is not null and id is not null").groupBy("id").agg(F.max("label").alias("label"))
-    first = W.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    sample = known.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= SAMPLE).select("id", "label")
+    # the smallest hashes of a label, by each task first: no task sorts a label
+    first = [known.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for k in (0, 1)]
+    sample = first[0].unionByName(first[1])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id")
-    cut = rows.select("id", "label", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)")).alias("words"))
-    size = F.greatest(F.ceil((F.size("words") - WINDOW) / STRIDE) + 1, F.lit(1))
-    sum_before = F.sum(size).over(W.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    got = sorted(cut.withColumn("upto", sum_before).where(F.col("upto") <= TRAINING // 2).select("id", "label", "words").collect(),
-                 key=lambda r: r["id"])
-    return fit_texts([r["words"] for r in got], np.array([r["label"] for r in got], np.float32))
+    words_of = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"))
+    got = rows.select("id", "label", words_of.alias("words")).select("id", "label", sample_of("id", F.col("words")).alias("words"))
+    found = sorted(got.distinct().collect(), key=lambda r: (r["id"], r["words"]))
+    return fit_texts([r["words"] for r in found], np.array([r["label"] for r in found], np.float32))
+
+
+def sample_of(id_col: str, ws: Column) -> Column:
+    """All words of a text, or ``PIECES`` runs of ``WINDOW`` words of a longer one, in their order."""
+    runs = F.ceil(F.size(ws) / WINDOW).cast("int")
+    named = F.transform(F.sequence(F.lit(0), F.greatest(runs - 1, F.lit(0))), lambda k: F.struct(F.xxhash64(F.col(id_col), k).alias("h"), k.alias("k")))
+    chosen = F.array_sort(F.transform(F.slice(F.array_sort(named), 1, PIECES), lambda x: x["k"]))
+    return F.when(runs <= PIECES, ws).otherwise(F.flatten(F.transform(chosen, lambda k: F.slice(ws, k * WINDOW + 1, WINDOW))))
 
 
 def fit_texts(texts: list[list[str]], label: np.ndarray) -> Model:
