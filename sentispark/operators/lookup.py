@@ -12,7 +12,10 @@ from sentispark.operators.dedup import text_key
 from sentispark.session import cut_lineage
 
 MAX_BROADCAST_ROWS = 1_000_000   # word tables: some 30 MB
-MAX_LITERAL_WORDS = 20_000       # word maps carried inside the plan
+MAX_LITERAL_WORDS = 400_000      # word maps carried inside the plan, and the bytes of their words
+MAX_LITERAL_BYTES = 16 << 20
+SHORT_TABLE = 5_000
+ENTRIES = 4                      # of a small map that a look-up walks
 SALTS = 64
 
 
@@ -37,17 +40,25 @@ def lookup(rows: DataFrame, table: DataFrame, on: str, how: str, spread: list[st
     return rows.withColumn("_salt", salt).join(copies, [on, "_salt"], how).drop("_salt")
 
 
-def literal_map(table: DataFrame, value: str, ddl: str, max_words: int = MAX_LITERAL_WORDS):
+def literal_map(table: DataFrame, value: str, ddl: str, max_words: int = MAX_LITERAL_WORDS,
+                max_bytes: int = MAX_LITERAL_BYTES):
     """A (word, value) table as a look-up function inside the row, or None if it is too large.
 
     The words travel in the plan as an array of small maps, picked by hash:
     Spark walks a map entry by entry, and dealt to many maps a look-up touches
-    an entry or two. ``table`` holds each word once.
+    some ``ENTRIES``. Many more maps than that would cost more to build than they save. ``table`` holds each word once. A short
+    one is collected at once; the size of another is checked before.
     """
-    rows = table.select("word", F.col(value).alias("v"), F.hash("word").alias("h")).limit(max_words + 1).collect()
+    columns = table.select("word", F.col(value).alias("v"), F.hash("word").alias("h"))
+    rows = columns.limit(min(SHORT_TABLE, max_words) + 1).collect()
     if len(rows) > max_words:
         return None
-    slots = max(16, 2 * len(rows))
+    if len(rows) > SHORT_TABLE:
+        size = columns.agg(F.count("*").alias("n"), F.sum(F.octet_length("word") + F.octet_length(F.col("v").cast("string"))).alias("b")).first()
+        if size["n"] > max_words or size["b"] > max_bytes:
+            return None
+        rows = columns.collect()
+    slots = max(16, len(rows) // ENTRIES)
     dealt: list[dict] = [{} for _ in range(slots)]
     for r in rows:
         dealt[r.h % slots][r.word] = r.v
@@ -61,7 +72,7 @@ def replace_words(df: DataFrame, key: str, text: str, mapping: DataFrame,
     """Replace words of a cleaned text by a (word, stem) table; a word without entry stays,
     a word mapped to '' is dropped.
 
-    A small table goes into the plan and the work stays inside the row. A
+    A table within the limits goes into the plan and the work stays inside the row. A
     larger one is joined word by word for every distinct text, and rows find
     their new text by its digest: the result of a row depends on its text
     alone, whatever its key and the size of the table.

@@ -5,9 +5,10 @@ import unicodedata
 import pytest
 
 from sentispark.functions import text as tx
-from sentispark.operators.lookup import drop_listed_words, replace_words
+from sentispark.operators.lookup import drop_listed_words, literal_map, replace_words
 from sentispark.plans.phases import preprocess, stage_trace
 from sentispark.sources.posts import literal_table
+from test_plans import plan_of
 
 CASES = [
     (None, ""),
@@ -73,6 +74,27 @@ def test_replace_words_same_on_every_path(spark, limits):
     assert got == {"a": "uno uno", "b": "", "c": "", "d": "tiga", "e": ""}
 
 
+def test_large_stem_table_stays_in_the_row(spark):
+    """200,000 entries: no explode and no shuffle of words, and the same texts as by the join."""
+    made = "concat('w', conv(id, 10, 26))"
+    mapping = spark.range(200_000).selectExpr(f"{made} AS word", "CASE WHEN id % 5 = 0 THEN '' ELSE concat('s', id % 1000) END AS stem")
+    df = spark.range(300).selectExpr("cast(id as string) AS id", "concat_ws(' ', transform(sequence(id * 700, id * 700 + 40, 3), "
+                                     "x -> concat('w', conv(x, 10, 26))), 'other') AS t").coalesce(1)
+    packed = replace_words(df, "id", "t", mapping)
+    plan = plan_of(packed)
+    assert not any(word in plan for word in ("Exchange", "Generate", "Join", "Aggregate"))
+    joined = texts_of(replace_words(df, "id", "t", mapping, max_literal=0))
+    assert texts_of(packed) == joined
+    assert all(t.split()[-1] == "other" and all(w.startswith("s") for w in t.split()[:-1]) and len(t.split()) < 15 for t in joined.values())
+
+
+def test_tables_beyond_the_bytes_are_joined(spark):
+    mapping = spark.range(6_000).selectExpr("concat(repeat('x', 50), id) AS word", "id AS stem")
+    assert literal_map(mapping, "stem", "string", max_bytes=100_000) is None
+    assert literal_map(mapping, "stem", "string", max_words=5_999) is None
+    assert literal_map(mapping, "stem", "string") is not None
+
+
 def test_stopword_table_and_list_agree(spark):
     df = spark.createDataFrame([("a", "yang ini yang itu")], "id string, t string")
     table = literal_table(spark, "word", [("yang",)])
