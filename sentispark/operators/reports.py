@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sentispark.functions.sentiment import LABELS
 from sentispark.functions.text import each, tokens
+from sentispark.session import cut_lineage
 
 ON_SCREEN_WORDS = 30
 EXPORT_WORDS = 50
@@ -35,9 +36,12 @@ def _pct(part, whole):
 
 def label_stats(posts: DataFrame) -> DataFrame:
     """One row: totals, counts and percentages of the labelled rows."""
-    counts = posts.agg(
+    return _with_shares(posts.agg(
         F.count("*").alias("total_tweets"),
-        *[F.count_if(F.col("label") == l).alias(l) for l in LABELS])
+        *[F.count_if(F.col("label") == l).alias(l) for l in LABELS]))
+
+
+def _with_shares(counts: DataFrame) -> DataFrame:
     labelled = sum((F.col(l) for l in LABELS[1:]), F.col(LABELS[0]))
     counts = counts.withColumn("total_labeled", labelled)
     return counts.select("total_tweets", "total_labeled", *LABELS,
@@ -63,9 +67,12 @@ def top_words(posts: DataFrame, n: int = ON_SCREEN_WORDS) -> DataFrame:
     Counts combine on the map side and each task forwards at most ``n`` words
     per label to the final ranking.
     """
+    return _ranked_words(word_counts(posts), n)
+
+
+def _ranked_words(counts: DataFrame, n: int) -> DataFrame:
     by_count = Window.partitionBy("label").orderBy(F.desc("n"), F.asc("term"))
-    return (word_counts(posts).withColumn("rank", F.row_number().over(by_count))
-            .where(F.col("rank") <= n))
+    return counts.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= n)
 
 
 def keyword_counts(posts: DataFrame) -> DataFrame:
@@ -114,13 +121,39 @@ def export_words(posts: DataFrame, n: int = EXPORT_WORDS) -> DataFrame:
                                       F.col("n").alias(count))
 
 
+def tally(posts: DataFrame) -> DataFrame:
+    """``keyword, term, label, cleaned, n``: rows counted by keyword, label and whether they are cleaned (``term`` null),
+    and words counted by label, in one pass over three columns. Counts combine on the map side."""
+    nothing = F.lit(None).cast("string")
+    words = F.when(F.col("label").isin(*LABELS), F.filter(tokens("cleaned_text"), lambda w: F.length(w) >= MIN_WORD_LENGTH))
+    row = F.array(F.struct(F.lit(True).alias("row"), F.col("keyword"), nothing.alias("term")))
+    said = F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.struct(
+        F.lit(False).alias("row"), nothing.alias("keyword"), w.alias("term")))
+    cleaned = F.col("cleaned_text").isNotNull().alias("cleaned")
+    items = posts.select("label", cleaned, F.inline_outer(F.concat(row, said)))
+    return items.groupBy("row", "keyword", "term", "label", "cleaned").agg(F.count("*").alias("n"))
+
+
+def newest(posts: DataFrame, n: int = TABLE_ROWS) -> DataFrame:
+    """The newest ``n`` labelled and the newest ``n`` other rows, in one pass; a task forwards no more than that."""
+    order = Window.partitionBy(F.col("label").isNotNull()).orderBy(F.desc("scraped_at"), F.desc("seq"))
+    return posts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n).drop("_rank")
+
+
 def dashboard_blocks(posts: DataFrame) -> dict[str, DataFrame]:
-    """Every block of the reporting payload as its own frame."""
+    """Every block of the reporting payload as its own frame; the posts are read twice, for counts and for the newest rows."""
+    counts, latest = cut_lineage(tally(posts)), cut_lineage(newest(posts))
+    rows, n = counts.where("row"), F.col("n")
+
+    def total(condition, name: str):
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).alias(name)
+
     return {
-        "stats": label_stats(posts),
-        "wordclouds": top_words(posts),
-        "per_keyword": keyword_counts(posts),
-        "pending": pending_counts(posts),
-        "raw_tweets": latest_raw(posts),
-        "tweets": latest_labeled(posts),
+        "stats": _with_shares(rows.agg(total(F.lit(True), "total_tweets"), *[total(F.col("label") == l, l) for l in LABELS])),
+        "wordclouds": _ranked_words(counts.where("NOT row").select("label", "term", "n"), ON_SCREEN_WORDS),
+        "per_keyword": rows.groupBy("keyword").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "keyword"),
+        "pending": rows.agg(total(~F.col("cleaned"), "pending_preprocess"),
+                            total(F.col("cleaned") & F.col("label").isNull(), "pending_label")),
+        "raw_tweets": latest_raw(latest),
+        "tweets": latest_labeled(latest),
     }

@@ -8,11 +8,14 @@ distinct word is stemmed once, whatever the number of its occurrences.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentispark.functions.text import each, tokens
 from sentispark.operators.lookup import MAX_BROADCAST_ROWS, fits
+from sentispark.session import cut_lineage
 from sentispark.sources.posts import literal_table
 
 # --- fixed values: affixes of the published algorithm -------------------------
@@ -70,12 +73,14 @@ def _rule_table(spark: SparkSession) -> DataFrame:
 def _strip_prefix(forms: DataFrame, rules: DataFrame, depth: int) -> DataFrame:
     """Add every form reached by one more prefix; the rule number extends the rank.
 
-    The first letters of a form meet the rules in a hash join. Forms of lower
+    The first letters of a form meet the rules in a hash join, if its first two
+    begin any prefix. Forms of lower
     depth pass through; the outermost prefix must suit the suffix taken off.
     """
     form, n = F.col("form"), F.col("n")
     heads = [F.substring(form, 1, k) for k in sorted({len(p) for p, _, _ in PREFIX_RULES})]
-    tried = F.when((F.col("depth") == depth - 1) & F.col("open"), F.array(F.lit(""), *heads)).otherwise(F.array(F.lit("")))
+    begins = F.substring(form, 1, 2).isin(sorted({p[:2] for p, _, _ in PREFIX_RULES}))
+    tried = F.when((F.col("depth") == depth - 1) & F.col("open") & begins, F.array(F.lit(""), *heads)).otherwise(F.array(F.lit("")))
     met = forms.withColumn("prefix", F.explode_outer(tried)).join(F.broadcast(rules), "prefix")
     fits_rule = ((F.length(form) >= n + MIN_STEM)
                  & F.contains(F.col("nxt"), F.expr("substring(form, n + 1, 1)")))
@@ -90,15 +95,13 @@ def _strip_prefix(forms: DataFrame, rules: DataFrame, depth: int) -> DataFrame:
         (F.col("depth") + F.when(passed, 0).otherwise(1)).alias("depth"), "open")
 
 
-def stem_candidates(vocab: DataFrame) -> DataFrame:
-    """(word, form, rank): every form the affix rules allow, lowest rank first.
+class Stages(NamedTuple):
+    """Columns of a word with its endings taken off, from the whole word on, and the suffix each has lost."""
+    forms: list[Column]
+    suffixes: list[Column]
 
-    Rank, in units of 10^7: the word and its suffix-stripped forms (0-4), then
-    the prefix-stripped forms of the barest stem (5) up to those of the whole
-    word (9); within a unit fewer prefixes first, then rule order. A word in
-    -kan is tried with -kan and with -an taken off. A form that came up earlier
-    is not expanded again.
-    """
+
+def _bare(vocab: DataFrame) -> tuple[DataFrame, Stages]:
     w = F.col("word")
     forms = vocab.select("word", _cut(w, PARTICLES).alias("w1"))
     forms = forms.withColumn("w2", _cut(F.col("w1"), POSSESSIVES))
@@ -109,33 +112,51 @@ def stem_candidates(vocab: DataFrame) -> DataFrame:
     def suffix(short: str) -> Column:
         return F.substring(F.col("w2"), F.length(short) + 1, F.length("w2"))
 
-    none, unit = F.lit(""), 10 ** 7
-    stages = [(w, none), (F.col("w1"), none), (F.col("w2"), none),
-              (F.col("w3"), suffix("w3")), (F.col("w4"), suffix("w4"))]
-    order = [stages[3], stages[4], stages[2], stages[1], stages[0]]
+    none = F.lit("")
+    return forms, Stages([w, *map(F.col, ("w1", "w2", "w3", "w4"))], [none, none, none, suffix("w3"), suffix("w4")])
+
+
+def _spread(forms: DataFrame, stages: Stages, order: list[int], first: int) -> DataFrame:
+    """(word, form, rank, suffix): a row per different form, in units of 10^7 from ``first`` on."""
+    rows = []
+    for k, at in enumerate(order):
+        row = F.struct(stages.forms[at].alias("form"), F.lit((first + k) * 10 ** 7).cast("long").alias("rank"), stages.suffixes[at].alias("suffix"))
+        earlier = [stages.forms[e] for e in order[:k]]
+        rows.append(F.when(~stages.forms[at].isin(*earlier), row) if earlier else row)
+    return forms.select("word", F.explode_outer(F.array(*rows)).alias("f")).where(F.col("f").isNotNull()).select("word", "f.*")
+
 
-    def start(f: Column, rank: int, s: Column, open_: bool, seen: list[Column]) -> Column:
-        row = F.struct(f.alias("form"), F.lit(rank).cast("long").alias("rank"), s.alias("suffix"),
-                       F.lit(open_).alias("open"))
-        return F.when(~f.isin(*seen), row) if seen else row
+def bare_candidates(vocab: DataFrame) -> DataFrame:
+    """(word, form, rank): the word and its suffix-stripped forms, ranks 0 to 4 in units of 10^7. A word in
+    -kan is tried with -kan and with -an taken off."""
+    return _spread(*_bare(vocab), [0, 1, 2, 3, 4], 0).select("word", "form", "rank")
 
-    starts = [start(f, i * unit, s, False, []) for i, (f, s) in enumerate(stages)]
-    starts += [start(f, (5 + i) * unit, s, True, [e for e, _ in order[:i]]) for i, (f, s) in enumerate(order)]
-    found = (forms.select("word", F.explode_outer(F.array(*starts)).alias("f")).where(F.col("f").isNotNull())
-             .select("word", "f.form", "f.rank", "f.suffix", F.lit(0).alias("depth"), "f.open"))
+
+def prefix_candidates(vocab: DataFrame) -> DataFrame:
+    """(word, form, rank): every form with one to three prefixes off, in units 5 (of the barest stem) to 9 (of the whole
+    word); within a unit fewer prefixes first, then rule order. A form that came up earlier is not expanded again."""
+    found = _spread(*_bare(vocab), [3, 4, 2, 1, 0], 5).select("*", F.lit(0).alias("depth"), F.lit(True).alias("open"))
     rules = _rule_table(vocab.sparkSession)
     for depth in range(1, MAX_PREFIXES + 1):
         found = _strip_prefix(found, rules, depth)
-    return found.where((F.col("depth") > 0) | ~F.col("open")).select("word", "form", "rank")
+    return found.where(F.col("depth") > 0).select("word", "form", "rank")
 
 
 def stem_table(vocab: DataFrame, roots: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """(word, stem) for every word that has a root among its forms."""
-    roots = roots.select(F.col("word").alias("form")).distinct()
+    """(word, stem) for every word that has a root among its forms.
+
+    Forms without a prefix rank before all others, so words that have a root among those leave first, and only the rest is
+    tried with prefixes taken off.
+    """
+    roots = cut_lineage(roots.select(F.col("word").alias("form")).distinct())
     if fits(roots, max_rows):
         roots = F.broadcast(roots)
-    hits = stem_candidates(vocab).join(roots, "form", "left_semi")
-    return hits.groupBy("word").agg(F.min_by("form", "rank").alias("stem"))
+
+    def best(candidates: DataFrame) -> DataFrame:
+        return candidates.join(roots, "form", "left_semi").groupBy("word").agg(F.min_by("form", "rank").alias("stem"))
+
+    settled = cut_lineage(best(bare_candidates(vocab)))
+    return settled.unionByName(best(prefix_candidates(vocab.join(settled, "word", "left_anti"))))
 
 
 def changed_words(stems: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,10 +70,6 @@ class Training(NamedTuple):
     scored: DataFrame   # test rows: model, id, y, pred, score
     comparison: DataFrame
 
-    def release(self) -> None:
-        self.train.unpersist()
-        self.scored.unpersist()
-
 
 def both_models(vectors: DataFrame, fitted: Training | tuple) -> DataFrame:
     nb_model, svm_model = fitted[1], fitted[2]
@@ -93,8 +88,7 @@ def run_train(posts: DataFrame, test_size: float = TEST_SIZE, max_features: int
               seed: int = SEED, given: Callable[[Tfidf], tuple[svm.Linear, svm.Platt]] | None = None) -> Training | None:
     """Fit and compare both models on the labelled posts; None below ten rows.
 
-    The training rows are written once and all passes read them; vectors of both parts are kept across the passes of the
-    solver; what reaches the driver is the vocabulary, two weight vectors and counts. ``given`` makes the second model from the
+    The training rows, the training vectors and the scores are written once and all passes read them; what reaches the driver is the vocabulary, two weight vectors and counts. ``given`` makes the second model from the
     vocabulary, for a model fitted elsewhere.
     """
     data = cut_lineage(training_set(posts))
@@ -106,7 +100,7 @@ def run_train(posts: DataFrame, test_size: float = TEST_SIZE, max_features: int
     train_text = labelled.where("is_train")
     vocab = fit_tfidf(train_text, max_features)
     keep = ["tweet_id", "y", "features"]
-    train = tfidf(train_text, vocab).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    train = cut_lineage(tfidf(train_text, vocab).select(*keep))
     nb_model = bayes.nb_fit(train)
     if given is None:
         svm_model = svm.svm_fit(train)
@@ -115,7 +109,7 @@ def run_train(posts: DataFrame, test_size: float = TEST_SIZE, max_features: int
         svm_model, platt = given(vocab)
     test = tfidf(labelled.where(~F.col("is_train")), vocab).select(*keep)
     predicted = svm.svm_proba(both_models(test, (vocab, nb_model, svm_model)), platt)
-    scored = long_scores(predicted).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = cut_lineage(long_scores(predicted))
     return Training(vocab, nb_model, svm_model, platt, vocab.n_docs, sizes - vocab.n_docs,
                     train, scored, evaluate.model_comparison(scored))
 

@@ -10,6 +10,7 @@ from sentispark.operators import features as ft
 from sentispark.operators.split import class_counts, stratified_split
 from sentispark.plans import inputs as ip
 from sentispark.plans.catalog import query
+from sentispark.session import cut_lineage
 
 G = f"WITH {ip.SQL_GOLD} "
 SQL_WORDS = "list_filter(string_split(cleaned_text, ' '), lambda w: length(w) >= 2)"
@@ -74,7 +75,7 @@ def tf(spark, sf_dir):
 
 
 def _split_parts(spark, sf_dir):
-    rows = stratified_split(ip.gold_binary(spark, sf_dir).persist())
+    rows = stratified_split(cut_lineage(ip.gold_binary(spark, sf_dir)))
     return rows.where("is_train"), rows.where(~F.col("is_train"))
 
 

@@ -15,6 +15,7 @@ from sentispark.plans.phases import both_models, run_train, score_corpus
 from sentispark.plans.queries_evaluate import FIVE, sql_metrics, sql_wins
 from sentispark.plans.queries_features import SQL_VOCAB, sql_weights
 from sentispark.plans.results import evaluation_report, results_document
+from sentispark.session import cut_lineage
 
 SQL_NB = f"""{SQL_VOCAB}, {sql_weights('train', 'w')},
   classes AS (SELECT label, CAST(label = 'positive' AS INT) AS y, count(*) AS n FROM train GROUP BY label),
@@ -32,11 +33,11 @@ SQL_MARGIN = f"""WITH {SQL_NB}, {sql_weights('test', 'v')},
 
 
 def _parts(spark, sf_dir):
-    rows = stratified_split(ip.gold_binary(spark, sf_dir).persist()).withColumn("y", binary_label(F.col("label")))
+    rows = stratified_split(cut_lineage(ip.gold_binary(spark, sf_dir))).withColumn("y", binary_label(F.col("label")))
     train = rows.where("is_train")
     vocab = ft.fit_tfidf(train)
     keep = ["tweet_id", "y", "features"]
-    return (vocab, ft.tfidf(train, vocab).select(*keep).persist(),
+    return (vocab, cut_lineage(ft.tfidf(train, vocab).select(*keep)),
             ft.tfidf(rows.where(~F.col("is_train")), vocab).select(*keep))
 
 
@@ -86,16 +87,9 @@ def svm_platt(spark, sf_dir):
             .select("tweet_id", "y", "svm_margin", "svm_proba"))
 
 
-_TRAINED: dict[tuple[str, str], tuple] = {}
-
-
 def _trained(spark, sf_dir):
-    """One training serves all of its reports within a session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        rows = ip.gold(spark, sf_dir).persist()
-        _TRAINED[key] = (rows, run_train(rows))
-    return _TRAINED[key]
+    rows = cut_lineage(ip.gold(spark, sf_dir))
+    return rows, run_train(rows)
 
 
 @query("full_corpus_scoring")
@@ -161,7 +155,7 @@ SQL_GIVEN = f"""WITH {SQL_NB},
 
 def _trained_given(spark, sf_dir):
     """A training whose second model is given; scores to nine places, so that equal ones are equal in SQL too."""
-    rows = ip.gold(spark, sf_dir)
+    rows = cut_lineage(ip.gold(spark, sf_dir))
     fitted = run_train(rows, given=_given)
     scored = fitted.scored.withColumn("score", F.round("score", 9))
     return rows, fitted._replace(scored=scored, comparison=ev.model_comparison(scored))

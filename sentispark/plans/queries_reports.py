@@ -145,8 +145,8 @@ _wide_query("export_labeled_csv", """SELECT username AS "Username", created_at A
   UNION ALL SELECT 'raw_tweets', tweet_id, length(raw_text) FROM latest_raw
   UNION ALL SELECT 'tweets', tweet_id, sentiment_score FROM latest""")
 def dashboard_blocks(spark, sf_dir):
-    """All blocks over one kept base, as (block, item, value) rows."""
-    b = reports.dashboard_blocks(ip.wide(spark, sf_dir).persist())
+    """All blocks, as (block, item, value) rows."""
+    b = reports.dashboard_blocks(ip.wide(spark, sf_dir))
     stats = b["stats"].unpivot([], ["total_tweets", "total_labeled", *reports.LABELS], "item", "value")
     stats = stats.where(~F.col("item").isin(*reports.LABELS) | (F.col("value") > 0))
 

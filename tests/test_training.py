@@ -87,7 +87,6 @@ def test_training_on_uneven_classes(spark, positive, negative):
     assert fitted.train_size + fitted.test_size == n and fitted.test_size == -(-n // 5)
     assert all(0 <= r.score <= 1 for r in fitted.scored.collect())
     assert {r.model for r in fitted.comparison.collect()} == {"nb", "svm"}
-    fitted.release()
 
 
 def test_folds_deal_every_class_evenly(spark):
