@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from sentispark.llm.words import _hashes, text_bytes, text_slices
+from sentispark.llm.words import _hashes, text_bytes, text_slices, tidy
 
 #: Distinct words whose ids a task keeps, at some 40 bytes each; beyond it a task starts anew.
 KNOWN = 500_000
@@ -57,6 +57,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """``doc_id, n_tokens, ids`` per row; ``ids`` as little-endian unsigned 32-bit integers."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(merges(tokenizer))
         for batch in batches:
@@ -75,6 +76,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out: str =
     rows = encoded.drop(out)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(tokenizer)
         for batch in batches:

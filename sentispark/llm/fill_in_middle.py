@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentispark.llm.words import _WHITE, text_bytes, text_slices
+from sentispark.llm.words import _WHITE, text_bytes, text_slices, tidy
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: Bytes that a prediction may miss a boundary by: what a signed byte holds.
@@ -107,6 +107,7 @@ def rank_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Per row ``doc_id, n, knot_rank, knot_offset, residual``: the index as a table; offsets count UTF-8 bytes."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
@@ -141,6 +142,7 @@ def cuts_from_index(index: DataFrame, seed: int = 42) -> DataFrame:
     h1, h2, _, _ = draws(F.col("doc_id"), seed)
     kind = index.schema["doc_id"].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, knots = b.column("n").to_numpy(), b.column("knot_rank")
@@ -174,6 +176,7 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", _written().alias("output"))
 
 
+@tidy
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch):

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sentispark.llm.words import mix, text_slices, words
+from sentispark.llm.words import mix, text_slices, tidy, words
 
 SAMPLE, WORDS, GRAMS = 500, 10_000, 6_000
 LENGTHS = (5, 4, 3, 2, 1)
@@ -67,6 +67,7 @@ def normal(word: str) -> str:
     return word[a:b]
 
 
+@tidy
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
     for batch in batches:
@@ -175,6 +176,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                            T.StructField("lang_score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by WORDS, GRAMS and the number of languages
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
         for batch in batches:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from sentispark.llm.order import running
 from sentispark.llm.tokens import WordEncoder
-from sentispark.llm.words import text_slices
+from sentispark.llm.words import text_slices, tidy
 from sentispark.session import scratch_path
 
 CAPACITY, END = 4096, 1
@@ -64,6 +64,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     return written.drop("doc_key").join(offsets, "row").drop("row")
 
 
+@tidy
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder = WordEncoder(path)
     for batch in batches:
@@ -190,6 +191,7 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     return [(list(c), n) for room in open_.values() for c, n in room.items()]
 
 
+@tidy
 def _place(batches: Iterator[pa.RecordBatch], layout: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         group, rank = batch.column("class").to_numpy(), batch.column("rank").to_numpy()

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sentispark.llm.words import release, tidy
+
 #: Bytes of text whose words one part of an exchange holds.
 PART_BYTES = 8 << 20
 #: Rows that a part hands on at a time.
@@ -26,9 +28,12 @@ def by_part(df: DataFrame, reduce: Callable[[int, pa.Table], Iterator[dict]], sc
     out = pa_schema(schema)
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = reduce(key[0].as_py(), pa.Table.from_batches(list(batches)))
-        while made := list(islice(rows, OUT_ROWS)):
-            yield pa.RecordBatch.from_pylist(made, schema=out)
+        try:
+            rows = reduce(key[0].as_py(), pa.Table.from_batches(list(batches)))
+            while made := list(islice(rows, OUT_ROWS)):
+                yield pa.RecordBatch.from_pylist(made, schema=out)
+        finally:
+            release()
 
     return df.repartition(parts, "part").groupBy("part").applyInArrow(run, schema)
 
@@ -37,6 +42,7 @@ def over_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
     """mapInArrow for a function that yields lists of rows."""
     out = pa_schema(schema)
 
+    @tidy
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in run(batches):
             yield pa.RecordBatch.from_pylist(rows, schema=out)

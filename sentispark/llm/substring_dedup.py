@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentispark.llm.shuffles import by_part, over_batches, parts_for
-from sentispark.llm.words import groups, mix, pack, range_of, run_hashes, text_slices, unpack, words
+from sentispark.llm.words import groups, mix, pack, range_of, run_hashes, text_slices, tidy, unpack, words
 
 #: A perfect difference cover: every number below PERIOD is a difference of two of these modulo PERIOD.
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)
@@ -172,6 +172,7 @@ def _places(dealt: DataFrame, parts: int) -> DataFrame:
     return by_part(dealt, reduce, "key long, places binary", parts)
 
 
+@tidy
 def _cut(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in text_slices(batch):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -67,7 +68,8 @@ class WordEncoder:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> Tokenizer:
-    """Its size is that of the file; a worker keeps it."""
+    """Its size is that of the file; a worker keeps it. A task has one core, so its batches need no threads of their own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Tokenizer.from_file(path)
 
 

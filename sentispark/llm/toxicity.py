@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sentispark.llm.words import mix, text_slices, words
+from sentispark.llm.words import mix, text_slices, tidy, words
 
 WINDOW, STRIDE = 24, 12
 SAMPLE, PIECES = 500, 120
@@ -339,6 +339,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("toxicity", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by the table sizes above
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         scorer = _Scorer(m.network, m.tables) if m.network is not None else None

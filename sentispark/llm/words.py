@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 from typing import NamedTuple
 
 import numpy as np
@@ -33,6 +35,26 @@ class Words(NamedTuple):
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
+def release() -> None:
+    """What a task has freed goes back to the system; its worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``run``, a generator of a task, with ``release`` at its end."""
+    @wraps(run)
+    def tidied(*args) -> Iterator:
+        try:
+            yield from run(*args)
+        finally:
+            release()
+
+    return tidied
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads every bit of a 64-bit number over all of them."""
     x = x ^ (x >> np.uint64(32))
