@@ -1,7 +1,10 @@
 """Documents packed into sequences of a fixed number of tokens: configuration linear program and rounding.
 
 Three passes. Texts become pieces of at most ``capacity`` ids, only longer documents are cut. The histogram of piece
-lengths in classes of ``GRAIN`` tokens, at most ``capacity / GRAIN`` numbers whatever the input, goes to the driver, which
+lengths, at most ``capacity`` numbers whatever the input, goes to the driver. Lengths are planned in ``CLASSES`` classes of a
+grain of 4 tokens, for a capacity of 4096. Four pieces of one length up to ``BUNDLED`` make a bundle, which fills its class;
+longer pieces, and fewer than four of a short length, stand alone and count up to the next multiple, so short pieces waste no
+room and long ones 1.5 tokens each. The driver
 chooses how many sequences follow which configuration (a multiset of classes that fits): multiplicative weights price
 the classes, a knapsack by dynamic programming finds the configuration worth most, and the fractional solution is
 rounded; what the rounding leaves is packed best fit, longest first. Then every piece finds its sequence by its class
@@ -19,6 +22,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +36,8 @@ from sentispark.llm.words import text_slices, tidy
 from sentispark.session import scratch_path
 
 CAPACITY, END = 4096, 1
-#: Lengths are planned in classes of this many tokens, counted at the longest of the class.
-GRAIN = 4
+#: Classes that lengths are planned in, at most, and the length up to which equal pieces make bundles.
+CLASSES, BUNDLED = 1024, 512
 #: Configurations priced at most, how fast the price of a covered length falls, and the share of a length's pieces that one may cover.
 ROUNDS, RATE, STEP = 1500, 4.0, 0.6
 
@@ -49,16 +53,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     made.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
     written = docs.sparkSession.read.parquet(path)
     pieces = written.select("row", "doc_id", "doc_key", "piece", "length")
-    grain = min(GRAIN, capacity)
-    classes = -(-capacity // grain)
-    classed = pieces.withColumn("class", F.ceil(F.col("length") / grain).cast("long"))
-    counts = np.zeros(classes + 1, np.int64)
-    for length, n in classed.groupBy("class").count().collect():  # at most ``classes`` rows
+    counts = np.zeros(capacity + 1, np.int64)
+    for length, n in pieces.groupBy("length").count().collect():  # at most ``capacity`` rows
         counts[length] = n
-    layout = arrange(counts, capacity // grain)
-    ranked = running(classed, "class", "doc_key", ["row"], F.lit(1), "rank")
-    placed = ranked.select("row", "length", "class", "rank").mapInArrow(
-        lambda b: _place(b, layout), "row long, length long, sequence_id long, slot long")
+    plan = Units.of(counts, max(1, capacity // CLASSES))
+    layout = arrange(plan.counts, capacity // plan.grain)
+    ranked = running(pieces, "length", "doc_key", ["row"], F.lit(1), "rank")
+    placed = ranked.select("row", "length", "rank").mapInArrow(
+        lambda b: _place(b, plan, layout), "row long, length long, sequence_id long, slot long")
     before = W.partitionBy("sequence_id").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
     offsets = placed.select("row", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
     return written.drop("doc_key").join(offsets, "row").drop("row")
@@ -191,12 +193,42 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     return [(list(c), n) for room in open_.values() for c, n in room.items()]
 
 
+class Units(NamedTuple):
+    """What is placed as one: bundles of equal short pieces, and single pieces. A class holds the bundles of its length first,
+    then the single pieces that count up to it, shorter ones first."""
+    grain: int
+    counts: np.ndarray  # units by class
+    bundled: np.ndarray  # by length: pieces in bundles
+    singles: np.ndarray  # by length: where its single pieces begin in their class
+
+    @classmethod
+    def of(cls, counts: np.ndarray, grain: int) -> Units:
+        length = np.arange(len(counts))
+        fits = (length <= BUNDLED) & (length * grain < len(counts))
+        bundles = np.where(fits, counts // grain, 0)
+        alone = counts - grain * bundles
+        of = -(-length // grain)
+        units = np.bincount(of, alone, minlength=of[-1] + 1).astype(np.int64)
+        units[:len(bundles)] += bundles[:len(units)]
+        before = np.cumsum(alone) - alone
+        first = np.searchsorted(of, of)  # the shortest length of the same class
+        own = np.append(bundles, np.zeros(len(units), np.int64))[of]  # bundles of that class come before
+        return cls(grain, units, grain * bundles, own + before - before[first])
+
+    def find(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class, rank in it and place in the unit of the pieces with these lengths and ranks among those of their length."""
+        inside = rank < self.bundled[length]
+        return (np.where(inside, length, -(-length // self.grain)),
+                np.where(inside, rank // self.grain, self.singles[length] + rank - self.bundled[length]),
+                np.where(inside, rank % self.grain, 0))
+
+
 @tidy
-def _place(batches: Iterator[pa.RecordBatch], layout: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _place(batches: Iterator[pa.RecordBatch], plan: Units, layout: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        group, rank = batch.column("class").to_numpy(), batch.column("rank").to_numpy()
-        run = np.searchsorted(layout["key"], (group << 48) + rank, side="right") - 1
-        names = [n for n in batch.schema.names if n not in ("class", "rank")]
+        kind, rank, place = plan.find(batch.column("length").to_numpy(), batch.column("rank").to_numpy())
+        run = np.searchsorted(layout["key"], (kind << 48) + rank, side="right") - 1
+        sequence = layout["sequence"][run] + rank - layout["rank"][run]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(n) for n in names] + [pa.array(layout["sequence"][run] + rank - layout["rank"][run]),
-                                                pa.array(layout["slot"][run])], [*names, "sequence_id", "slot"])
+            [batch.column("row"), batch.column("length"), pa.array(sequence), pa.array(layout["slot"][run] * plan.grain + place)],
+            ["row", "length", "sequence_id", "slot"])

@@ -89,3 +89,21 @@ def test_rows_of_the_mix_by_source(spark):
     for r in out.collect():
         got[r.source] = got.get(r.source, 0) + len(r.text.split())
     assert got == {s: n for s, n in want.items() if n}
+
+
+def test_pipeline_keeps_rows_without_an_id(spark, tmp_path):
+    """Null ids, repeated rows and an empty table through the stages that decide on documents."""
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    text = [said(["the", "river", "and", "stone", "garden", "under", "morning", "house", "people", "weather"], 50, rng) for _ in range(6)]
+    rows = [(k, text[k], "en", "s", 1) for k in range(4)] + [(None, text[4], "en", "s", 1), (None, text[5], "en", None, 1), (9, text[0], "en", "s", 1),
+                                                             (1, text[1], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    left = stages["ngram_join"](spark, stages["language_id"](spark, docs, ""), "")
+    assert sorted((str(r.doc_id), r.text) for r in left.collect()) == sorted(
+        [(str(k), text[k]) for k in (0, 1, 1, 2, 3)] + [("None", text[4]), ("None", text[5])])
+    cut = stages["substring_dedup"](spark, left, "")
+    assert sorted(str(r.doc_id) for r in cut.collect()) == ["0", "2", "3", "None", "None"]  # the two rows of id 1 repeat each other
+    assert stages["mixing"](spark, docs.limit(0), "").count() == 0
