@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,7 +91,9 @@ def ingest(batch: DataFrame, store: DataFrame | KeyStore | None = None, before:
 def insert_counts(hits: DataFrame) -> DataFrame:
     """New rows per keyword and in total (keyword null); keywords are processed in list order,
     so a post found by several keywords counts for the first."""
-    ordered = hits.withColumn("_order", F.struct("keyword_pos", "seq"))
+    # one number, so that minima combine in a hash table; a struct would be sorted
+    place = F.col("keyword_pos").cast("decimal(18,0)") * F.lit(Decimal(10) ** 19) + F.col("seq")
+    ordered = hits.withColumn("_order", place.cast("decimal(38,0)"))
     kept = dedup_first_wins(ordered, order="_order")
     return kept.rollup("keyword").agg(F.count("*").alias("inserted"))
 

@@ -8,8 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution sizes the shuffle partitions from what was really written
-# and splits skewed join partitions, so one setting serves 10 MB and 100 TB.
+# Adaptive execution merges small shuffle partitions and splits skewed join
+# partitions; how many there are to begin with follows the cores (see below).
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+#: Spark's default number of shuffle partitions, and how many a core gets where nobody set another.
+SPARKS_OWN, PARTITIONS_A_CORE = "200", 4
 
 
 def build_session(app: str = "sentispark", master: str | None = None,
@@ -27,7 +29,11 @@ def build_session(app: str = "sentispark", master: str | None = None,
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    if session.conf.get("spark.sql.shuffle.partitions") == SPARKS_OWN:
+        wanted = max(int(SPARKS_OWN), PARTITIONS_A_CORE * session.sparkContext.defaultParallelism)
+        session.conf.set("spark.sql.shuffle.partitions", wanted)
+    return session
 
 
 def shared_dir(spark: SparkSession) -> str:
