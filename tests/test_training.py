@@ -78,7 +78,7 @@ def test_too_little_data(spark):
     assert run_train(spark.createDataFrame(rows, "tweet_id string, cleaned_text string, label string")) is None
 
 
-@pytest.mark.parametrize("positive, negative", [(9, 2), (2, 9), (5, 5), (30, 3)])
+@pytest.mark.parametrize("positive, negative", [(9, 2), (3, 8)])
 def test_training_on_uneven_classes(spark, positive, negative):
     rows = [(f"p{i}", f"bagus sekali nomor {'abcdefghij'[i % 10]}x", "positive") for i in range(positive)]
     rows += [(f"n{i}", f"buruk sekali nomor {'abcdefghij'[i % 10]}x", "negative") for i in range(negative)]
