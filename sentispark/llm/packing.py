@@ -70,7 +70,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder = WordEncoder(path)
     for batch in batches:
-        for rows in text_slices(batch, limit=2 << 20):
+        for rows in text_slices(batch):
             ids, first = encoder.encode(rows.column("text"))
             size = np.diff(first) + 1
             number = -(-size // capacity)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sentispark.llm.words import release, tidy
 
 #: Bytes of text whose words one part of an exchange holds.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 #: Rows that a part hands on at a time.
 OUT_ROWS = 64
 

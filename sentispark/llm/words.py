@@ -13,7 +13,7 @@ import pyarrow as pa
 #: Bytes of text hashed at a time.
 SEGMENT = 1 << 18
 #: Bytes of text a slice of a batch holds, but for one longer text.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
