@@ -15,7 +15,7 @@ from sentispark.plans import inputs as ip
 from sentispark.plans.catalog import query
 from sentispark.plans.phases import preprocess, run_clean
 from sentispark.session import scratch_path
-from sentispark.sources.posts import posts_from_documents, read_table
+from sentispark.sources.posts import posts_from_documents, read_table, read_table_stream
 from sentispark.streaming import incremental as inc
 
 P = f"WITH {ip.SQL_POSTS} "
@@ -147,9 +147,9 @@ def upsert_label(spark, sf_dir):
   SELECT c.tweet_id, c.cleaned_text, sentiment_score, {ip.sql_label('sentiment_score')} AS label
   FROM cleaned c JOIN scores s ON c.tweet_id = s.tweet_id""")
 def incremental_clean_label(spark, sf_dir):
-    """The documents file as a stream: the rows written by the runs equal the batch result."""
+    """The documents as a stream: the rows written by the runs equal the batch result."""
     schema = read_table(spark, sf_dir, "documents").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    stream = read_table_stream(spark, sf_dir, "documents", schema)
     out = scratch_path(spark, "labelled")
     run = inc.clean_and_label(posts_from_documents(stream), out, scratch_path(spark, "progress"),
                               ip.lexicon(spark), lambda b: preprocess(b, custom=()))

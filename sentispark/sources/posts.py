@@ -37,6 +37,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def read_table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType) -> DataFrame:
+    """A given table as a stream, be it one file or a folder of files.
+
+    The bracket makes the path a pattern that matches itself: a stream takes a plain path for a folder.
+    """
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread rows on ``key`` when there are fewer splits than cores, else leave them.
 

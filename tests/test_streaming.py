@@ -2,11 +2,13 @@ import random
 
 from sentispark.operators.lexicon_score import lexicon_label
 from sentispark.plans import inputs as ip
+from sentispark.plans.catalog import QUERIES, load_all
 from sentispark.plans.phases import preprocess
 from sentispark.sources.posts import scan_posts
 from sentispark.streaming import incremental as inc
 
 SF = "/root/testdata/sf0.001"
+load_all()
 
 
 def test_labelled_stream_equals_batch_after_every_file(spark, tmp_path):
@@ -62,3 +64,19 @@ def test_ingest_stream_two_keys_and_repeated_batch(spark, tmp_path):
     (tmp_path / "cp" / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
     inc.ingest_stream(inc.read_post_stream(spark, landing), rows_out, keys_out, progress, prefixes=4).awaitTermination()
     assert sorted(r.seq for r in inc.stored(spark, rows_out).collect()) == sequential(batches)
+
+
+def test_table_of_many_files_is_streamed_whole(spark, tmp_path):
+    """A table may be one file or a folder of files; both give the rows of the batch."""
+    docs = spark.createDataFrame([(n, f"The mbg {'of' * (n % 2)} w{n}", "en", "web", 9) for n in range(40)] + [(40, None, None, None, None)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(5).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (tmp_path / "single").mkdir()
+    next((tmp_path / "one").glob("part-*")).rename(tmp_path / "single" / "documents.parquet")
+    for kind in ("folder", "single"):
+        sf = str(tmp_path / kind)
+        cleaned = preprocess(ip.posts(spark, sf), custom=())
+        want = cleaned.join(lexicon_label(cleaned, ip.lexicon(spark)), "tweet_id")
+        got = QUERIES["incremental_clean_label"](spark, sf).select(*want.columns)
+        assert got.count() == 41 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
