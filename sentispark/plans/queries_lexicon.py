@@ -14,13 +14,25 @@ from sentispark.session import scratch_path
 from sentispark.sources.lexicon import load_lexicon, union_lexica
 from sentispark.sources.posts import read_table
 
-WORDS = r"([^\x20\x09-\x0D]+)"
+WHITE = "\t\n\x0b\x0c\r"
+#: Parts the lines are dealt to, for every split of their table: a text becomes some five times its bytes in sorted lines.
+PARTS_A_SPLIT = 16
+
+
+def _words(text):
+    for c in WHITE:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _lines(rows, number, weight):
-    """Every word of every text as a line ``line, word, weight``, in the order of the texts and of the words in them."""
-    words = rows.select(number.alias("row"), "n", F.posexplode_outer(F.regexp_extract_all("text", F.lit(WORDS))).alias("at", "w"))
-    words = words.where("w IS NOT NULL")
+    """Every word of every text as a line ``line, word, weight``, in the order of the texts and of the words in them.
+
+    Texts, not lines, go through the exchange, and only numbers of texts are sampled for its ranges. Texts of one number share
+    a part, so that sorting the parts orders all lines.
+    """
+    texts = rows.select(number.alias("row"), "n", "text").repartitionByRange(PARTS_A_SPLIT * rows.rdd.getNumPartitions(), "row")
+    words = texts.select("row", "n", F.posexplode_outer(_words(F.col("text"))).alias("at", "w")).where("w IS NOT NULL")
     return words.select((F.shiftleft("row", 24) + F.col("at")).alias("line"),
                         F.concat(F.lit("  "), "w", F.lit(" ")).alias("word"), weight.alias("weight"))
 
@@ -42,7 +54,7 @@ def _turn_lines(spark, sf_dir):
 def _as_files(lines, name):
     """The lines as tab-separated files whose names follow their order, in the shared folder."""
     path = scratch_path(lines.sparkSession, name)
-    (lines.orderBy("line").select("word", "weight").write.option("ignoreLeadingWhiteSpace", False)
+    (lines.sortWithinPartitions("line").select("word", "weight").write.option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path, sep="\t"))
     return path
 

@@ -1,8 +1,14 @@
+import contextlib
+import io
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from sentispark.operators.lexicon_score import contributions, lexicon_label, lexicon_overlap, with_sentiment
 from sentispark.operators.lookup import replace_words
-from sentispark.sources.lexicon import load_lexicon, union_lexica
+from sentispark.plans.queries_lexicon import _lines
+from sentispark.sources.lexicon import load_lexicon, parse_lexicon, union_lexica
 from sentispark.sources.posts import literal_table
 
 LINES = ["word\tweight", "  The \t2", "that\t4", "that\t2", "is\t3.0", "good idea\t5", "\t1", "nan\t 4 "]
@@ -52,3 +58,38 @@ def test_scores_depend_on_the_text_alone(spark, limits):
     stems = spark.createDataFrame([("bagus", "baik")], "word string, stem string")
     got = sorted((str(r.tweet_id), r.cleaned_text or "") for r in replace_words(rows, "tweet_id", "cleaned_text", stems, **limits).collect())
     assert got == [("None", "baik"), ("a", "baik"), ("a", "baik baik"), ("b", ""), ("c", "")]
+
+
+def plan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def test_lines_are_not_sorted_to_find_the_last(spark, tmp_path):
+    (tmp_path / "one.tsv").write_text("".join(line + "\n" for line in LINES), encoding="utf-8")
+    plan = plan_of(load_lexicon(spark, str(tmp_path)))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort" not in plan
+
+
+def test_odd_weights_and_ends_of_words(spark):
+    rows = [(" a　", " +1"), ("b\u0085", "-2 "), (" c \u0085", "3"), ("d e", "99999999999"), ("f", "1e3"), ("g", "3.0"), ("h", "x"), ("i", "--1"),
+            (None, "1"), ("  ", "7"), ("J\t", "8"), ("k", None), ("l", "\t9\n")]
+    lines = spark.createDataFrame([(w, x, n) for n, (w, x) in enumerate(rows)], "word string, weight string, line long")
+    got = {r.word: r.weight for r in parse_lexicon(lines).collect()}
+    assert got == {"a": 1, "b\u0085": -2, "c\u0085": 3, "": 7, "j": 8, "l": 9}
+
+
+def test_word_lines_keep_their_order_without_a_shuffle_of_lines(spark):
+    """Equal and missing numbers of texts, any white space, empty texts; an exchange carries texts and no words."""
+    texts = [(3, "a\tb  c"), (1, "d\x0be\r\nf "), (3, "x"), (2, None), (None, "n"), (4, ""), (0, "é a b")]
+    rows = spark.createDataFrame([(k, t, 5) for k, t in texts], "k long, text string, n long").repartition(3)
+    lines = _lines(rows, F.col("k"), F.lit("1"))
+    ordered = lines.sortWithinPartitions("line")
+    got = [(r.line, r.word.strip(" ")) for r in ordered.collect()]
+    want = [(None if k is None else (k << 24) + at, w) for k, t in texts if t for at, w in enumerate(re.findall(r"[^\x20\x09-\x0D]+", t))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert [x for x, _ in got] == sorted((x for x, _ in want), key=lambda x: -1 if x is None else x)
+    above = plan_of(ordered).split("Generate")[-1]
+    assert "rangepartitioning(row" in plan_of(ordered) and "rangepartitioning(line" not in above
