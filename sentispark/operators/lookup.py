@@ -73,27 +73,40 @@ def replace_words(df: DataFrame, key: str, text: str, mapping: DataFrame,
     a word mapped to '' is dropped.
 
     A table within the limits goes into the plan and the work stays inside the row. A
-    larger one is joined word by word for every distinct text, and rows find
-    their new text by its digest: the result of a row depends on its text
-    alone, whatever its key and the size of the table.
+    larger one is joined with the different words of every distinct text. Only words that change come back, as maps beside
+    the text: occurrences are neither sorted nor gathered. Rows find their new text by its digest: the result of a row
+    depends on its text alone, whatever its key and the size of the table.
     """
     mapping = mapping.groupBy("word").agg(F.min("stem").alias("stem"))
     found = literal_map(mapping, "stem", "string", max_literal)
     if found is not None:
         mapped = F.transform(tokens(text), lambda w: F.coalesce(found(w), w))
         return df.withColumn(text, join_words(F.array_remove(mapped, "")))
-    mapping = cut_lineage(mapping)
+    mapping = cut_lineage(mapping.where("stem <> word"))
     texts = distinct_texts(df, text)
-    words = texts.select("_d", F.posexplode_outer(tokens("_text")).alias("pos", "word")).where("word IS NOT NULL")
-    stems = lookup(words, mapping, "word", "left", ["_d", "pos"], max_rows)
-    kept = stems.select("_d", "pos", F.coalesce("stem", "word").alias("w")).where("w <> ''")
-    gathered = kept.groupBy("_d").agg(F.array_sort(F.collect_list(F.struct("pos", "w"))).alias("_words"))
-    joined = F.array_join(F.transform("_words", lambda s: s["w"]), " ")
-    made = gathered.select("_d", joined.alias("_new"))
+    words = texts.select("_d", F.explode_outer(F.array_distinct(tokens("_text"))).alias("word")).where("word IS NOT NULL")
+    hits = lookup(words, mapping, "word", "inner", ["_d", "word"], max_rows).groupBy("_d").agg(F.collect_list(F.struct("word", "stem")).alias("_hits"))
+    made = texts.join(hits.select("_d", _dealt("_hits").alias("_maps")), "_d", "left").select("_d", _replaced("_text", "_maps").alias("_new"))
     return (df.withColumn("_d", text_key(text)).join(made, "_d", "left")
             .withColumn(text, F.coalesce("_new", F.lit(""))).select(*df.columns))
 
 
+def _dealt(hits: str):
+    """An array of (word, stem) as an array of small maps, picked by hash: as many as there are words in one."""
+    slots = F.ceil(F.sqrt(F.size(hits))).cast("int")
+    return F.transform(F.sequence(F.lit(0), slots - 1), lambda slot: F.map_from_entries(
+        F.filter(hits, lambda h: F.pmod(F.hash(h["word"]), slots) == slot)))
+
+
+def _replaced(text: str, maps: str):
+    """The text with its words looked up in the maps; without maps, as it is."""
+    def found(w):
+        return F.try_element_at(F.get(F.col(maps), F.pmod(F.hash(w), F.size(maps))), w)
+
+    mapped = F.transform(tokens(text), lambda w: F.coalesce(found(w), w))
+    return join_words(F.when(F.col(maps).isNull(), tokens(text)).otherwise(F.array_remove(mapped, "")))
+
+
 def distinct_texts(df: DataFrame, text: str) -> DataFrame:
     """``_d, _text``: every text once, under its digest; nulls have none."""
     return df.where(F.col(text).isNotNull()).select(text_key(text).alias("_d"), F.col(text).alias("_text")).dropDuplicates(["_d"])

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentispark.operators.lexicon_score import contributions, lexicon_label, lexicon_overlap, with_sentiment
-from sentispark.operators.lookup import replace_words
+from sentispark.operators import lookup as look
+from sentispark.operators.lookup import lookup, replace_words
 from sentispark.plans.queries_lexicon import _lines
 from sentispark.sources.lexicon import load_lexicon, parse_lexicon, union_lexica
 from sentispark.sources.posts import literal_table
@@ -93,3 +94,20 @@ def test_word_lines_keep_their_order_without_a_shuffle_of_lines(spark):
     assert [x for x, _ in got] == sorted((x for x, _ in want), key=lambda x: -1 if x is None else x)
     above = plan_of(ordered).split("Generate")[-1]
     assert "rangepartitioning(row" in plan_of(ordered) and "rangepartitioning(line" not in above
+
+
+def test_joined_words_are_not_gathered_by_occurrence(spark, monkeypatch):
+    """Only words that change meet the text again; dropped, equal and missing stems, words of one slot and of many."""
+    rows = spark.createDataFrame([("a", "x y x " + " ".join(f"w{n}" for n in range(300))), ("b", "x x"), ("c", None), ("d", ""), ("d", "gone gone"),
+                                  ("e", "same none x"), (None, "w7 gone w8")], "tweet_id string, cleaned_text string")
+    stems = [(f"w{n}", f"v{n}") for n in range(0, 300, 2)] + [("gone", ""), ("same", "same"), ("none", None), ("x", "z"), (None, "q")]
+    table = spark.createDataFrame(stems, "word string, stem string")
+    to = {w: s for w, s in stems if s is not None}
+    want = sorted((str(k), " ".join(to.get(w, w) for w in (t or "").split() if to.get(w, w))) for k, t in map(tuple, rows.collect()))
+    for limits in ({}, {"max_literal": 0}, {"max_literal": 0, "max_rows": 0}):
+        got = replace_words(rows, "tweet_id", "cleaned_text", table, **limits)
+        assert sorted((str(r.tweet_id), r.cleaned_text) for r in got.collect()) == want
+    looked_up = []
+    monkeypatch.setattr(look, "lookup", lambda r, *a: looked_up.append(r.count()) or lookup(r, *a))
+    replace_words(rows.where("tweet_id = 'b'"), "tweet_id", "cleaned_text", table, max_literal=0)
+    assert looked_up == [1]
