@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sentispark.session import cut_lineage
+
 DIGITS = 3          # hex digits fixed per pass: 4096 counts per class
 HASH_DIGITS = 32
 TEST_SIZE = 0.2
@@ -72,10 +74,15 @@ def cut_points(keyed: DataFrame, ranks: dict[tuple[str, int], int]) -> dict[tupl
     return found
 
 
+def _keyed(df: DataFrame, label: str, id_col: str, seed: int) -> tuple[DataFrame, dict[str, int]]:
+    """Class and hash of every row, written once so that the passes over them read no texts; the class sizes."""
+    keyed = cut_lineage(df.select(F.col(label).alias("label"), split_key(id_col, seed).alias("_key")))
+    return keyed, {r["label"]: r["n"] for r in class_counts(keyed).collect()}
+
+
 def in_class_parts(df: DataFrame, parts: int, label: str, id_col: str, seed: int = SEED) -> tuple[DataFrame, dict[str, int]]:
     """``df`` with ``_part``, which deals each class into ``parts`` parts whose sizes differ by one at most; the class sizes."""
-    counts = {r[label]: r["n"] for r in class_counts(df, label).collect()}
-    keyed = df.select(F.col(label).alias("label"), split_key(id_col, seed).alias("_key"))
+    keyed, counts = _keyed(df, label, id_col, seed)
     cuts = cut_points(keyed, {(c, k): n * k // parts for c, n in counts.items() for k in range(1, parts)})
     key, part = split_key(id_col, seed), F.lit(None).cast("int")
     for c in counts:
@@ -91,13 +98,12 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "tweet_i
     The result is a projection: a row compares its hash with the cut of its
     class. Only counts are shuffled to find the cuts.
     """
-    counts = {r[label]: r["n"] for r in class_counts(df, label).collect()}
+    keyed, counts = _keyed(df, label, id_col, seed)
     if len(counts) < 2:
         raise ValueError("training needs at least two classes")
     if min(counts.values()) < 2:
         raise ValueError("every class needs at least two rows")
     quotas = train_quotas(counts, test_size)
-    keyed = df.select(F.col(label).alias("label"), split_key(id_col, seed).alias("_key"))
     cuts = {c: cut for (c, _), cut in cut_points(keyed, {(c, 0): n for c, n in quotas.items()}).items()}
     in_train = F.lit(False)
     key = split_key(id_col, seed)

@@ -69,15 +69,22 @@ def wide_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with human labels; those without one count as neutral."""
-    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("tweet_id"), "quality")
-    label = (F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative")
-             .otherwise("neutral"))
-    rows = cleaned_posts(spark, sf_dir).select("tweet_id", "cleaned_text")
-    return rows.join(labels, "tweet_id", "left").select("tweet_id", "cleaned_text", label.alias("label"))
+    return _gold(spark, sf_dir, "left")
 
 
 def gold_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold(spark, sf_dir).where("label <> 'neutral'")
+    """Those with a label of either class; no other text is cleaned."""
+    return _gold(spark, sf_dir, "inner")
+
+
+def _gold(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("tweet_id"), "quality")
+    label = (F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative")
+             .otherwise("neutral"))
+    if how == "inner":
+        labels = labels.where("quality IN (0, 1)")
+    rows = posts(spark, sf_dir).select("tweet_id", "raw_text").join(labels, "tweet_id", how)
+    return rows.select("tweet_id", tx.clean_text("raw_text").alias("cleaned_text"), label.alias("label"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

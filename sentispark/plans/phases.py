@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,8 +105,10 @@ def run_train(posts: DataFrame, test_size: float = TEST_SIZE, max_features: int
     train = cut_lineage(tfidf(train_text, vocab).select(*keep))
     nb_model = bayes.nb_fit(train)
     if given is None:
-        svm_model = svm.svm_fit(train)
-        platt = svm.platt_fit(svm.held_out_margins(train))
+        with ThreadPoolExecutor(1) as beside:  # a solver step leaves cores idle, so the folds are fitted meanwhile
+            whole = beside.submit(inheritable_thread_target(train.sparkSession)(svm.svm_fit), train)
+            platt = svm.platt_fit(svm.held_out_margins(train))
+            svm_model = whole.result()
     else:
         svm_model, platt = given(vocab)
     test = tfidf(labelled.where(~F.col("is_train")), vocab).select(*keep)

@@ -10,6 +10,7 @@ from sentispark.operators.features import top_mean_terms
 from sentispark.operators.queues import training_set
 from sentispark.operators.reports import dominant_label, label_distribution, label_stats
 from sentispark.plans.phases import Training, score_corpus
+from sentispark.session import cut_lineage
 
 # Model names and headings of the exported table.
 MODEL_NAMES = {"nb": "Naive Bayes", "svm": "SVM (Linear)"}
@@ -69,7 +70,7 @@ def _rows(df: DataFrame, section: str, pairs: dict, prefix=None) -> DataFrame:
 def evaluation_report(posts: DataFrame, fitted: Training) -> DataFrame:
     """The figures of the text report as (section, item, value) rows."""
     col = F.col
-    base = training_set(posts, False)  # labelled posts that also have a cleaned text
+    base = cut_lineage(training_set(posts, False).select("label"))  # of labelled posts that also have a cleaned text
     stats = label_stats(base)
     labels = ("positive", "negative", "neutral")
     parts = [

@@ -123,3 +123,23 @@ def test_sigmoid_is_at_its_optimum(spark, rows):
     best = loss(*fitted)
     for da, db in ((1e-3, 0), (-1e-3, 0), (0, 1e-3), (0, -1e-3), (1e-3, 1e-3), (-1e-3, -1e-3)):
         assert loss(fitted.slope + da, fitted.offset + db) >= best - 1e-6
+
+
+def test_only_labelled_texts_are_cleaned(spark, tmp_path):
+    """Texts meet their labels before they are cleaned, and the report reads the posts' labels once."""
+    import contextlib
+    import io
+    from sentispark.plans import inputs as ip
+
+    docs = [(n, f"Some text {n}", "en", "web", 9) for n in range(6)] + [(None, "x", "en", "web", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    marks = [(0, 1), (1, 0), (2, None), (3, 1), (3, 0), (None, 1)]
+    spark.createDataFrame(marks, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = ip.gold_binary(spark, str(tmp_path))
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, ip.gold(spark, str(tmp_path)).where("label <> 'neutral'").collect())) == [
+        ("0", "some text", "positive"), ("1", "some text", "negative"), ("3", "some text", "negative"), ("3", "some text", "positive")]
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        rows.explain("simple")
+    plan = out.getvalue().split("Initial Plan")[0]
+    assert plan.index("[^a-z]+") < plan.index("Join")
