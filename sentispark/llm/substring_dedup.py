@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from sentispark.llm.shuffles import by_part, over_batches, parts_for
 from sentispark.llm.words import groups, mix, pack, range_of, run_hashes, text_slices, tidy, unpack, words
+from sentispark.session import cut_lineage, free_unreachable
 
 #: A perfect difference cover: every number below PERIOD is a difference of two of these modulo PERIOD.
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)
@@ -50,7 +51,9 @@ def cut_repeats(docs: DataFrame, width: int = 35, text_col: str = "text") -> Dat
     texts = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row"))
     of_row = F.col("row")[text_col].cast("string").alias("text")
     anchors = over_batches(narrow, lambda b: _scatter(b, parts, lambda w, _: _anchors(w, width)), _ENTRIES)
-    matched = _places(_again(anchors, parts), parts)
+    matched = cut_lineage(_places(_again(anchors, parts), parts))
+    del anchors
+    free_unreachable(docs.sparkSession)  # all anchors, before the texts are exchanged
     around = over_batches(texts.join(matched, "key").select("key", "row", of_row, "places"),
                           lambda b: _scatter(b, parts, lambda w, batch: _windows(w, batch, width)), _ENTRIES)
     repeats = _places(_again(around, parts), parts)
