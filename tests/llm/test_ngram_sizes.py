@@ -85,3 +85,46 @@ def test_anchors_are_settled_before_texts_are_exchanged(spark, capsys):
     cut.explain("simple")
     assert len(re.findall(r"FlatMapGroupsInArrow", capsys.readouterr().out)) == 2
     assert {r.doc_id: (r.n_words, r.n_removed) for r in cut.collect()} == {1: (2, 0), 2: (80, 80)}
+
+
+def test_entries_cost_the_same_in_more_parts():
+    """A map task's work follows its entries, and only its rows the number of parts."""
+    rng = np.random.default_rng(6)
+    kept = [(rng.integers(0, 1 << 63, 400_000, dtype=np.uint64) << np.uint64(1), np.sort(rng.integers(0, 3000, 400_000)))]
+
+    def seconds(parts: int) -> float:
+        began = time.process_time()
+        rows = ngram_join._entry_rows(kept, parts)
+        assert sum(len(unpack(r["hashes"])) for r in rows) == 400_000
+        return time.process_time() - began
+
+    few = min(seconds(50) for _ in range(3))
+    assert min(seconds(4000) for _ in range(2)) < 20 * few
+
+
+@pytest.mark.parametrize("limit", [ngram_join.PAIRS, 50])
+def test_partial_overlaps_by_hand(monkeypatch, limit):
+    """Pairs of any number of holders, also where counts leave before all are in."""
+    monkeypatch.setattr(ngram_join, "PAIRS", limit)
+    rng = random.Random(7)
+    docs = [-5, 3, 40, 41, 1000, 2**40, 2**40 + 1]
+    size = {d: rng.choice([30, 36, 60]) for d in docs}
+    component = {d: rng.choice([1, 2, 3]) for d in docs}
+    holders = {(h << 16): rng.sample(docs, rng.randint(1, len(docs))) for h in range(200)}
+    found = [(h, d) for h, some in holders.items() for d in some]
+    columns = [np.array(x, np.int64) for x in zip(*((d, h, size[d], component[d]) for h, d in found))]
+    cut = len(found) // 2
+    rows = pa.Table.from_pylist([ngram_join._labelled_row(0, np.arange(len(found))[s], columns[0], columns[1].view(np.uint64), *columns[2:])
+                                 for s in (slice(cut), slice(cut, None))])
+    counts: dict = {}
+    for row in ngram_join._partial_overlaps(rows, 3):
+        one, other = unpack(row["pairs"], True, np.int64).reshape(2, -1).tolist()
+        for a, b, n, both in zip(one, other, unpack(row["counts"], False, np.int64).tolist(), unpack(row["limits"], False, np.int64).tolist()):
+            assert both == size[a] + size[b]
+            counts[a, b] = counts.get((a, b), 0) + n
+    wanted: dict = {}
+    for some in holders.values():
+        for a, b in combinations(sorted(some), 2):
+            if component[a] != component[b] and 100 * min(size[a], size[b]) >= 75 * max(size[a], size[b]):
+                wanted[a, b] = wanted.get((a, b), 0) + 1
+    assert counts == wanted
